@@ -12,14 +12,16 @@ def _column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def null_tokens(col: Column | str) -> Column:
+_TOKEN_LIST = ", ".join(f"'{token}'" for token in NA_TOKENS)
+
+
+def null_tokens(name: str) -> Column:
     """Missing-value texts become NULL, other text is kept as it is."""
-    col = _column(col)
-    return F.when(~F.trim(col).isin(NA_TOKENS), col)
+    return F.expr(f"CASE WHEN trim(`{name}`) NOT IN ({_TOKEN_LIST}) THEN `{name}` END")
 
 
-def clean_id(col: Column | str) -> Column:
-    return F.trim(null_tokens(col))
+def clean_id(name: str) -> Column:
+    return F.trim(null_tokens(name))
 
 
 def lenient_date(col: Column | str) -> Column:

@@ -14,20 +14,21 @@ def stratified_sample(labels: DataFrame, n: int = 500, seed: int = 42) -> DataFr
 
     Yes rows get ``max(1, int(n * yes share))`` places, No rows the others.
     """
-    totals = labels.agg(
+    marked = labels.withColumn("_label", F.trim("PotentialFraud"))
+    totals = marked.agg(
         F.struct(
             F.count("*").alias("rows"),
-            F.count_if(F.col("PotentialFraud") == "Yes").alias("yes"),
-            F.count("PotentialFraud").alias("labelled"),
+            F.count_if(F.col("_label") == "Yes").alias("yes"),
+            F.count("_label").alias("labelled"),
         ).alias("t")
     ).scalar()
-    ranked = hash_ranked(labels, "Provider", "PotentialFraud", seed).withColumn("_t", totals)
+    ranked = hash_ranked(marked, "Provider", "_label", seed).withColumn("_t", totals)
     yes_places = F.greatest(
         F.lit(1).cast("bigint"),
         F.call_function("div", F.lit(n).cast("bigint") * F.col("_t.yes"), F.col("_t.labelled")),
     )
-    places = F.when(F.col("PotentialFraud") == "Yes", yes_places).when(
-        F.col("PotentialFraud") == "No", F.lit(n) - yes_places
+    places = F.when(F.col("_label") == "Yes", yes_places).when(
+        F.col("_label") == "No", F.lit(n) - yes_places
     )
     keep = (F.col("_t.rows") <= n) | (F.col("hash_rank") <= places)
     return ranked.where(keep).select(*labels.columns)

@@ -1,17 +1,28 @@
-"""The star of one input folder, built once per application and then scanned."""
+"""Tables and models of one input folder, built once per application.
+
+The star is the load step of the job: later queries prune columns and push
+filters into its Parquet files. Features, models and attributions are written
+once as well, so nothing downstream computes them again or depends on the
+executors that made them.
+"""
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import SparkSession
+from pyspark.ml.classification import GBTClassificationModel
+from pyspark.sql import DataFrame, SparkSession
 
-from adjudica.operators.star import Star, build_star
+from adjudica.operators.attribution import attributions
+from adjudica.operators.features import assert_no_leakage, provider_features
+from adjudica.operators.model import TrainedModel, save_bundle, score, train_and_evaluate
+from adjudica.operators.star import Star
 from adjudica.session import work_dir
-from adjudica.sources.star_store import read_star, write_star
+from adjudica.sources.star_store import load_star, read_star
 from adjudica.sources.testdata import raw_tables
 
 _built: set[str] = set()
+_models: dict[str, TrainedModel] = {}
 
 
 def scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -20,14 +31,56 @@ def scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"{work_dir(spark)}/{spark.sparkContext.applicationId}/{key}/{name}"
 
 
+def _written(spark: SparkSession, path: str, build) -> DataFrame:
+    if path not in _built:
+        build().write.mode("overwrite").parquet(path)
+        _built.add(path)
+    return spark.read.parquet(path)
+
+
 def staged_path(spark: SparkSession, sf_dir: str) -> str:
     path = scratch(spark, sf_dir, "star")
     if path not in _built:
-        write_star(build_star(raw_tables(spark, sf_dir)), path)
+        load_star(raw_tables(spark, sf_dir), path)
         _built.add(path)
     return path
 
 
 def staged_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Load step of the job: later queries prune and push down into Parquet."""
     return read_star(spark, staged_path(spark, sf_dir))
+
+
+def staged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(
+        spark,
+        scratch(spark, sf_dir, "features"),
+        lambda: assert_no_leakage(provider_features(staged_star(spark, sf_dir))),
+    )
+
+
+def staged_model(spark: SparkSession, sf_dir: str) -> tuple[TrainedModel, str]:
+    """The trained model without folds, and the folder of its bundle."""
+    path = scratch(spark, sf_dir, "bundle")
+    if path not in _models:
+        model = train_and_evaluate(staged_features(spark, sf_dir), folds=0)
+        save_bundle(model, path)
+        _models[path] = model
+    return _models[path], path
+
+
+def staged_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(provider_id, potential_fraud, probability) from the trained trees."""
+    return _written(
+        spark,
+        scratch(spark, sf_dir, "scores"),
+        lambda: score(staged_model(spark, sf_dir)[0].trees, staged_features(spark, sf_dir)),
+    )
+
+
+def staged_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> DataFrame:
+        model, path = staged_model(spark, sf_dir)
+        trees: GBTClassificationModel = model.trees
+        return attributions(trees, f"{path}/trees", staged_features(spark, sf_dir))
+
+    return _written(spark, scratch(spark, sf_dir, "attributions"), build)

@@ -31,4 +31,7 @@ def read_raw(spark: SparkSession, folder: str, files: dict[str, str] | None = No
 def write_raw(tables: dict[str, DataFrame], folder: str) -> None:
     """Raw tables as header files in the layout ``read_raw`` expects."""
     for table, df in tables.items():
-        df.write.mode("overwrite").option("header", True).csv(f"{folder}/{RAW_FILES[table]}")
+        writer = df.write.mode("overwrite").option("header", True)
+        for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+            writer = writer.option(side, False)
+        writer.csv(f"{folder}/{RAW_FILES[table]}")

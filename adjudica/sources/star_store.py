@@ -7,7 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adjudica.operators.star import Star, unify_claims
+from adjudica.operators.star import (
+    Star,
+    build_beneficiaries,
+    build_inpatient,
+    build_outpatient,
+    build_providers,
+    unify_claims,
+)
 from adjudica.schema import STAR_SCHEMAS
 
 UNIFIED = "fact_claims_unified"
@@ -18,21 +25,13 @@ def _write(df: DataFrame, path: str) -> None:
     df.withColumn("created_at", F.current_timestamp()).write.mode("overwrite").parquet(path)
 
 
-def write_star(tables: Star, path: str) -> None:
-    """Replace the five tables, dimensions before facts.
+def _write_unified(unified: DataFrame, path: str) -> None:
+    """The narrow fact in month folders.
 
-    Each table is written once and later tables read the written ones, so the
-    cleansing of the claims runs a single time. The unified fact lies in month
-    folders; the rebalance splits a heavy month over several files and merges
-    light ones, and rows are clustered by provider inside a file so that row
-    groups can be skipped by provider.
+    The rebalance splits a heavy month over several files and merges light
+    ones; rows are clustered by provider inside a file so that row groups can
+    be skipped by provider.
     """
-    spark = next(iter(tables.values())).sparkSession
-    for name in STAR_SCHEMAS:
-        if name != UNIFIED:
-            _write(tables[name], f"{path}/{name}")
-    written = read_star(spark, path, [name for name in STAR_SCHEMAS if name != UNIFIED])
-    unified = unify_claims(written["fact_inpatient_claims"], written["fact_outpatient_claims"])
     (
         unified.withColumn("created_at", F.current_timestamp())
         .withColumn(MONTH, F.date_format("claim_start_date", "yyyy-MM"))
@@ -40,8 +39,38 @@ def write_star(tables: Star, path: str) -> None:
         .sortWithinPartitions(MONTH, "provider_id")
         .write.mode("overwrite")
         .partitionBy(MONTH)
-        .parquet(f"{path}/{UNIFIED}")
+        .parquet(path)
+    )
+
+
+def write_star(tables: Star, path: str) -> None:
+    """Replace the five tables, dimensions before facts."""
+    for name in STAR_SCHEMAS:
+        (_write_unified if name == UNIFIED else _write)(tables[name], f"{path}/{name}")
+
+
+def load_star(raw: dict[str, DataFrame], path: str) -> Star:
+    """Raw tables to the stored star, each table computed a single time.
+
+    Facts are filtered against the written dimensions, whose known sizes pick
+    the join strategy, and the unified fact reads the two written facts.
+    """
+    spark = raw["labels"].sparkSession
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        _write(df, f"{path}/{name}")
+        return read_table(spark, path, name)
+
+    providers = stored("dim_providers", build_providers(raw["labels"]))
+    beneficiaries = stored("dim_beneficiaries", build_beneficiaries(raw["beneficiary"]))
+    inpatient = stored(
+        "fact_inpatient_claims", build_inpatient(raw["inpatient"], beneficiaries, providers)
+    )
+    outpatient = stored(
+        "fact_outpatient_claims", build_outpatient(raw["outpatient"], beneficiaries, providers)
     )
+    _write_unified(unify_claims(inpatient, outpatient), f"{path}/{UNIFIED}")
+    return read_star(spark, path)
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:

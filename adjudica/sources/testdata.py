@@ -4,12 +4,14 @@ Provider = supplier, beneficiary = customer, claim = order line. The text is
 plain SQL that other engines run unchanged, so that checks start from the very
 same rows. Values are built from whole cents; some cells are missing,
 malformed or untrimmed on purpose, and some beneficiaries are left out so that
-orphan claims exist.
+orphan claims exist. Flagged providers mostly have long stays, with some labels
+turned over so that a classifier cannot be perfect.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adjudica.schema import CONDITIONS
 
@@ -25,7 +27,7 @@ def _money(cents: str) -> str:
 
 _LABELS = """
 SELECT CASE WHEN s_suppkey % 7 = 0 THEN ' ' ELSE '' END || 'PRV' || CAST(s_suppkey AS STRING) AS Provider,
-  CASE WHEN s_suppkey % 10 = 3 THEN 'Yes' ELSE 'No' END
+  CASE WHEN (s_suppkey % 10 = 3) <> (s_suppkey % 17 = 4) THEN 'Yes' ELSE 'No' END
     || CASE WHEN s_suppkey % 11 = 0 THEN ' ' ELSE '' END AS PotentialFraud
 FROM supplier
 """
@@ -111,12 +113,22 @@ RAW_SQL = {
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four raw tables over one test-data folder."""
     inputs = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
+    inputs["lineitem"] = _spread(inputs["lineitem"])
     return {
         table: spark.sql(_bound(text), **{n: df for n, df in inputs.items() if _uses(text, n)})
         for table, text in RAW_SQL.items()
     }
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Inputs of fewer splits than cores (one small file) are dealt out evenly.
+
+    Real inputs have more splits than cores and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _uses(text: str, table: str) -> bool:
     return f"FROM {table}" in text or f"JOIN {table}" in text
 
@@ -127,3 +139,24 @@ def _bound(text: str) -> str:
             f"JOIN {name}", "JOIN {" + name + "}"
         )
     return text
+
+
+def _digest_number(*parts) -> Column:
+    """First four hex digits of the md5 of the joined parts as a number."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 4), 16, 10).cast("bigint")
+
+
+def hashed_scores(providers: DataFrame) -> DataFrame:
+    """Stand-in scores in thousandths, so that metrics and marts can be checked."""
+    return providers.select(
+        "provider_id", "potential_fraud",
+        ((_digest_number(F.lit("score"), "provider_id") % 1000) / F.lit(1000.0)).alias("probability"),
+    )
+
+
+def hashed_attributions(features: DataFrame, names: list[str]) -> DataFrame:
+    """Stand-in attributions (provider_id, feature, value, phi) in thousandths."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("value")) for n in names])
+    return features.select("provider_id", F.inline(pairs)).withColumn(
+        "phi", (_digest_number(F.lit("phi"), "provider_id", "feature") % 2001 - 1000) / F.lit(1000.0)
+    )

@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from oracles import analytics_sql
+    from oracles import analytics_sql, feature_sql, raw_sql
 
-    return {**analytics_sql.ORACLES}
+    return {**analytics_sql.ORACLES, **raw_sql.ORACLES, **feature_sql.ORACLES}
