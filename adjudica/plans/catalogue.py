@@ -27,7 +27,7 @@ from adjudica.plans.staging import (
     staged_star,
 )
 from adjudica.schema import ANNUAL_AMOUNTS, CONDITIONS
-from adjudica.sources.raw_files import read_raw, write_raw
+from adjudica.sources.raw_files import RAW_FILES, read_raw, write_raw
 from adjudica.sources.sinks import write_json, write_mart
 from adjudica.sources.star_store import count_rows, read_star, reconcile_counts, table_counts, write_star
 from adjudica.sources.testdata import hashed_attributions, hashed_scores, raw_tables
@@ -49,10 +49,13 @@ def _on_raw(build) -> Query:
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to a fixed number of places; their last bits depend on row order."""
+    """Doubles to a fixed number of places; their last bits depend on row order.
+
+    Adding 0.0 turns a rounded -0.0 into 0.0.
+    """
     return df.select(
         *[
-            F.round(F.col(name), digits).alias(name) if kind == "double" else F.col(name)
+            (F.round(F.col(name), digits) + F.lit(0.0)).alias(name) if kind == "double" else F.col(name)
             for name, kind in df.dtypes
         ]
     )
@@ -69,8 +72,6 @@ def _read_raw(table: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = scratch(spark, sf_dir, f"raw_{table}")
         write_raw({table: raw_tables(spark, sf_dir)[table]}, folder)
-        from adjudica.sources.raw_files import RAW_FILES
-
         return read_raw(spark, folder, {table: RAW_FILES[table]})[table]
 
     return run

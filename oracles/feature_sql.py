@@ -109,7 +109,7 @@ EXTRA = {
   ({_HEX.format("'phi|' || provider_id || '|' || feature")} % 2001 - 1000) / 1000.0::DOUBLE AS phi
   FROM (UNPIVOT provider_features ON {', '.join(FEATURES)} INTO NAME feature VALUE value) u""",
     "importance": "SELECT feature, round(avg(abs(phi)), 6) AS mean_abs_shap, avg(abs(phi)) AS exact FROM given_phi GROUP BY feature",
-    "leading": "SELECT feature, mean_abs_shap FROM importance ORDER BY exact DESC, feature LIMIT 15",
+    "leaders": "SELECT feature, mean_abs_shap FROM importance ORDER BY exact DESC, feature LIMIT 15",
 }
 
 _RATE = "coalesce(count(*) FILTER (ground_truth_fraud = 'Yes') / nullif(count(*), 0) * 100, 0)"
@@ -296,13 +296,13 @@ _BODIES = {
   WHERE attending_physician IS NOT NULL GROUP BY ALL) t""",
     "x02_global_importance": "SELECT feature, mean_abs_shap FROM importance",
     "s07_write_json": "SELECT feature, mean_abs_shap FROM importance",
-    "x03_top_features": "SELECT * FROM leading",
-    "x04_top_feature_values": "SELECT provider_id, feature, round(value, 6) AS value, round(phi, 6) AS phi FROM given_phi SEMI JOIN leading USING (feature)",
+    "x03_top_features": "SELECT * FROM leaders",
+    "x04_top_feature_values": "SELECT provider_id, feature, round(value, 6) AS value, round(phi, 6) AS phi FROM given_phi SEMI JOIN leaders USING (feature)",
     "x05_highest_risk": """SELECT provider_id, potential_fraud, round(probability, 6) AS probability FROM given_scores
   ORDER BY given_scores.probability DESC, provider_id LIMIT 1""",
     "x06_contribution_breakdown": """SELECT provider_id, CAST(position AS BIGINT) AS position,
   CASE WHEN position = 10 AND count(*) > 1 THEN count(*) || ' other features' ELSE min(feature) END AS feature,
-  round(sum(phi), 6) AS phi FROM (SELECT *, least(row_number() OVER (PARTITION BY provider_id
+  round(sum(phi), 6) + 0.0::DOUBLE AS phi FROM (SELECT *, least(row_number() OVER (PARTITION BY provider_id
     ORDER BY abs(phi) DESC, feature), 10) AS position FROM given_phi) t GROUP BY provider_id, t.position""",
     "x07_narratives": f"""SELECT s.provider_id, round_even(probability, 4) AS predicted_fraud_probability,
   CASE WHEN probability >= 0.5 THEN 'CRITICAL / HIGH' ELSE 'LOW / MONITORED' END AS assigned_risk_tier,
