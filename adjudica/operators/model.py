@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -20,6 +18,7 @@ from pyspark.sql import functions as F
 from adjudica.operators import metrics
 from adjudica.operators.features import FEATURES
 from adjudica.operators.split import LABEL, assert_disjoint, class_weight, fold_assignment, group_split
+from adjudica.session import side_by_side
 
 # Training parameters of the boosted trees.
 ROUNDS = 180
@@ -149,9 +148,7 @@ def cross_validate(
         areas = metrics.ranking_metrics(metrics.score_steps(held_out)).withColumn("m", cut)
         return areas.select(F.lit(fold).alias("fold"), "roc_auc", "m.recall", F.col("m.f1_score").alias("f1"))
 
-    spark = train.sparkSession
-    with ThreadPoolExecutor(folds) as pool:
-        parts = list(pool.map(inheritable_thread_target(spark)(one), range(folds)))
+    parts = side_by_side(train.sparkSession, [lambda fold=fold: one(fold) for fold in range(folds)])
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -194,10 +191,15 @@ def train_and_evaluate(
     split = group_split(features, seed=seed).cache()
     assert_disjoint(split)
     train, test = (split.where(F.col("split") == side).drop("split") for side in ("train", "test"))
-    logistic = fit_logistic(train)
     weight = positive_weight(train)
-    per_fold = cross_validate(train, weight, rounds, folds, seed) if folds else None
-    trees = fit_trees(train, weight, rounds, seed)
+    trees, logistic, per_fold = side_by_side(
+        features.sparkSession,
+        [
+            lambda: fit_trees(train, weight, rounds, seed),
+            lambda: fit_logistic(train),
+            lambda: cross_validate(train, weight, rounds, folds, seed) if folds else None,
+        ],
+    )
     threshold = tune_threshold(trees, train)
     evaluation = metrics.evaluation_report(
         as_scored(score(trees, test)).where("label IS NOT NULL"), threshold

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -46,6 +50,18 @@ def work_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+T = TypeVar("T")
+
+
+def side_by_side(spark: SparkSession, jobs: list[Callable[[], T]]) -> list[T]:
+    """Submit a few independent Spark jobs at once, results in order.
+
+    Only whole jobs run here, a handful per call; the rows stay in Spark.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are fixed and survive losing executors."""
     work_dir(df.sparkSession)

@@ -16,6 +16,7 @@ from adjudica.operators.star import (
     unify_claims,
 )
 from adjudica.schema import STAR_SCHEMAS
+from adjudica.session import side_by_side
 
 UNIFIED = "fact_claims_unified"
 MONTH = "claim_month"
@@ -61,13 +62,23 @@ def load_star(raw: dict[str, DataFrame], path: str) -> Star:
         _write(df, f"{path}/{name}")
         return read_table(spark, path, name)
 
-    providers = stored("dim_providers", build_providers(raw["labels"]))
-    beneficiaries = stored("dim_beneficiaries", build_beneficiaries(raw["beneficiary"]))
-    inpatient = stored(
-        "fact_inpatient_claims", build_inpatient(raw["inpatient"], beneficiaries, providers)
+    providers, beneficiaries = side_by_side(
+        spark,
+        [
+            lambda: stored("dim_providers", build_providers(raw["labels"])),
+            lambda: stored("dim_beneficiaries", build_beneficiaries(raw["beneficiary"])),
+        ],
     )
-    outpatient = stored(
-        "fact_outpatient_claims", build_outpatient(raw["outpatient"], beneficiaries, providers)
+    inpatient, outpatient = side_by_side(
+        spark,
+        [
+            lambda: stored(
+                "fact_inpatient_claims", build_inpatient(raw["inpatient"], beneficiaries, providers)
+            ),
+            lambda: stored(
+                "fact_outpatient_claims", build_outpatient(raw["outpatient"], beneficiaries, providers)
+            ),
+        ],
     )
     _write_unified(unify_claims(inpatient, outpatient), f"{path}/{UNIFIED}")
     return read_star(spark, path)
