@@ -56,20 +56,15 @@ def state_totals(star: Star) -> DataFrame:
 
 def portfolio_kpi(star: Star) -> DataFrame:
     """Q1: size and money of the whole portfolio."""
-    pairs = star["fact_claims_unified"].groupBy("provider_id", "bene_id").agg(
+    totals = star["fact_claims_unified"].agg(
         F.count("*").alias("n"),
-        sum_cents("reimbursed_amount").alias("paid"),
-        sum_cents("deductible_amount").alias("deducted"),
-    )
-    totals = pairs.agg(
-        F.sum("n").alias("n"),
         F.count_distinct("bene_id").alias("benes"),
         F.count_distinct("provider_id").alias("providers"),
-        F.sum("paid").alias("paid"),
-        F.sum("deducted").alias("deducted"),
+        sum_cents("reimbursed_amount").alias("paid"),
+        sum_cents("deductible_amount").alias("deducted"),
     )
     return totals.select(
-        F.coalesce("n", F.lit(0)).alias("total_claims"),
+        F.col("n").alias("total_claims"),
         F.col("benes").alias("distinct_beneficiaries"),
         F.col("providers").alias("active_providers"),
         as_money(F.col("paid")).alias("total_reimbursement_usd"),

@@ -17,6 +17,7 @@ from adjudica.schema import CHRONIC_FLAGS
 
 REFERENCE_YEAR = 2009
 MAX_AGE = 115
+MEDIAN_BIN = 10_000  # neighbouring values per bin of the exact median
 
 # Feature names in model order.
 FEATURES = [
@@ -76,27 +77,42 @@ def volume_features(claims: DataFrame) -> DataFrame:
     )
 
 
+def _walked(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Adds the running count ``_upto`` of ``_n`` inside each key."""
+    upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn("_upto", F.sum("_n").over(upto))
+
+
 def exact_median(df: DataFrame, key: str, value: Column) -> DataFrame:
     """(key, median) of an integer value, exact.
 
-    Equal values are counted before the shuffle on (key, value); what meets on
-    one key is its distinct values, walked in order by their running count.
+    Equal values are counted before the shuffle on (key, value), then counted
+    per bin of neighbouring values. Bins show which one or two of them hold the
+    middle; only the values inside those are put in order. So a key with most
+    of the rows is never sorted as a whole: a task walks the bins of a key or
+    the at most ``MEDIAN_BIN`` values of a bin.
     """
     counts = (
         df.select(key, value.alias("_value"))
-        .where(F.col("_value").isNotNull())
+        .where(F.col("_value").isNotNull() & F.col(key).isNotNull())
         .groupBy(key, "_value")
         .agg(F.count("*").alias("_n"))
-    )
-    upto = Window.partitionBy(key).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("_upto", F.sum("_n").over(upto)).withColumn(
-        "_total", F.sum("_n").over(Window.partitionBy(key))
+        .withColumn("_bin", F.floor(F.col("_value") / MEDIAN_BIN))
     )
     low, high = F.expr("(_total + 1) div 2"), F.expr("_total div 2 + 1")
 
     def holds(rank: Column) -> Column:
         return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
 
+    bins = _walked(counts.groupBy(key, "_bin").agg(F.sum("_n").alias("_n")), [key], "_bin").withColumn(
+        "_total", F.sum("_n").over(Window.partitionBy(key))
+    )
+    middle = bins.where(holds(low) | holds(high)).select(
+        key, "_bin", "_total", (F.col("_upto") - F.col("_n")).alias("_before")
+    )
+    placed = _walked(counts.join(middle, [key, "_bin"]), [key, "_bin"], "_value").withColumn(
+        "_upto", F.col("_upto") + F.col("_before")
+    )
     return (
         placed.groupBy(key)
         .agg(

@@ -78,27 +78,17 @@ def _share_pct(part: Column, whole: Column) -> Column:
 def temporal_trends(star: Star) -> DataFrame:
     """Volume, money, active providers and patients by month.
 
-    Claims are added up per (month, provider, beneficiary) first, so the
-    distinct counts run on pairs and a heavy month is spread over its pairs.
+    Spark dedups each distinct column per (month, key) before and after the
+    shuffle, so a heavy month is spread over its providers and patients.
     """
-    inpatient = F.col("claim_type") == "Inpatient"
-    pairs = (
+    return (
         star["fact_claims_unified"]
-        .groupBy(claim_month().alias("claim_year_month"), "provider_id", "bene_id")
+        .groupBy(claim_month().alias("claim_year_month"))
         .agg(
-            F.count("*").alias("n"),
-            F.count_if(inpatient).alias("inp"),
-            F.count_if(F.col("claim_type") == "Outpatient").alias("outp"),
+            F.count("*").alias("total_claims"),
+            F.count_if(F.col("claim_type") == "Inpatient").alias("inpatient_claims"),
+            F.count_if(F.col("claim_type") == "Outpatient").alias("outpatient_claims"),
             sum_cents("reimbursed_amount").alias("paid"),
-        )
-    )
-    return (
-        pairs.groupBy("claim_year_month")
-        .agg(
-            F.sum("n").alias("total_claims"),
-            F.sum("inp").alias("inpatient_claims"),
-            F.sum("outp").alias("outpatient_claims"),
-            F.sum("paid").alias("paid"),
             F.count_distinct("provider_id").alias("active_providers"),
             F.count_distinct("bene_id").alias("distinct_beneficiaries"),
         )

@@ -98,8 +98,9 @@ def clean_outpatient(raw: DataFrame) -> DataFrame:
 def referential_filter(claims: DataFrame, beneficiaries: DataFrame, providers: DataFrame) -> DataFrame:
     """Claims whose provider and beneficiary both exist.
 
-    No hints: a dimension below the broadcast threshold is broadcast, a larger
-    one is shuffled, and a hot key is split by the adaptive skew join.
+    The callers decide on hints: without one, a dimension below the broadcast
+    threshold is broadcast, a larger one is shuffled and a hot key is split by
+    the adaptive skew join.
     """
     return claims.join(providers.select("provider_id"), "provider_id", "left_semi").join(
         beneficiaries.select("bene_id"), "bene_id", "left_semi"

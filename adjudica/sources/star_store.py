@@ -20,6 +20,7 @@ from adjudica.session import side_by_side
 
 UNIFIED = "fact_claims_unified"
 MONTH = "claim_month"
+BROADCAST_ROWS = 2_000_000  # key columns only, about 100 MB as a hash table
 
 
 def _write(df: DataFrame, path: str) -> None:
@@ -50,6 +51,14 @@ def write_star(tables: Star, path: str) -> None:
         (_write_unified if name == UNIFIED else _write)(tables[name], f"{path}/{name}")
 
 
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a stored table of at most ``BROADCAST_ROWS`` rows.
+
+    The count comes from the file footers. A larger table is joined by shuffle.
+    """
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def load_star(raw: dict[str, DataFrame], path: str) -> Star:
     """Raw tables to the stored star, each table computed a single time.
 
@@ -69,14 +78,16 @@ def load_star(raw: dict[str, DataFrame], path: str) -> Star:
             lambda: stored("dim_beneficiaries", build_beneficiaries(raw["beneficiary"])),
         ],
     )
+    known_providers = broadcast_if_small(providers.select("provider_id"))
+    known_benes = broadcast_if_small(beneficiaries.select("bene_id"))
     inpatient, outpatient = side_by_side(
         spark,
         [
             lambda: stored(
-                "fact_inpatient_claims", build_inpatient(raw["inpatient"], beneficiaries, providers)
+                "fact_inpatient_claims", build_inpatient(raw["inpatient"], known_benes, known_providers)
             ),
             lambda: stored(
-                "fact_outpatient_claims", build_outpatient(raw["outpatient"], beneficiaries, providers)
+                "fact_outpatient_claims", build_outpatient(raw["outpatient"], known_benes, known_providers)
             ),
         ],
     )
