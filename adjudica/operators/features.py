@@ -97,7 +97,9 @@ def exact_median(df: DataFrame, key: str, value: Column) -> DataFrame:
         .where(F.col("_value").isNotNull() & F.col(key).isNotNull())
         .groupBy(key, "_value")
         .agg(F.count("*").alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_value") / MEDIAN_BIN))
+        # The coalesce keeps the join below from pushing a filter into only one
+        # of the two uses, so that both read the same shuffled counts.
+        .withColumn("_bin", F.coalesce(F.floor(F.col("_value") / MEDIAN_BIN), F.lit(0)))
     )
     low, high = F.expr("(_total + 1) div 2"), F.expr("_total div 2 + 1")
 
