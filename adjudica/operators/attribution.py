@@ -26,6 +26,13 @@ from adjudica.operators.model import vectorised
 ROWS_PER_CHUNK = 64
 LOG_ODDS_PER_MARGIN = 2.0  # probability = sigmoid(2 * margin)
 
+# Sentence formats (feature, value, size), tiers and labels of a narrative.
+RAISING_SENTENCE = "+ High Risk Driver: '%s' (value: %s) increased log-odds by +%s"
+LOWERING_SENTENCE = "- Mitigating Factor: '%s' (value: %s) reduced log-odds by %s"
+RAISING_SHOWN, LOWERING_SHOWN = 4, 2
+TIER_ABOVE, TIER_BELOW = "CRITICAL / HIGH", "LOW / MONITORED"
+LABEL_TRUE, LABEL_FALSE, LABEL_MISSING = "Fraud", "Non-Fraud", "Unknown"
+
 
 def _paths(nodes: pd.DataFrame, weight: float) -> list[tuple[float, dict[int, tuple[float, float, float]]]]:
     """Leaves of one tree as (value, feature -> (low, high, covered share))."""
@@ -205,31 +212,23 @@ def narratives(phi: DataFrame, scores: DataFrame, threshold: float = 0.5) -> Dat
         phi.where(F.col("phi") != 0)
         .withColumn("_raising", raising)
         .withColumn("_place", place)
-        .where((F.col("_raising") & (F.col("_place") <= 4)) | (~F.col("_raising") & (F.col("_place") <= 2)))
+        .where(F.col("_place") <= F.when(F.col("_raising"), RAISING_SHOWN).otherwise(LOWERING_SHOWN))
     )
-    value, size = _fixed(F.coalesce("value", F.lit(0.0)), 2), _fixed(F.col("phi"), 3)
-    sentence = F.when(
-        F.col("_raising"),
-        F.concat(
-            F.lit("+ High Risk Driver: '"), "feature", F.lit("' (value: "), value,
-            F.lit(") increased log-odds by +"), size,
-        ),
-    ).otherwise(
-        F.concat(
-            F.lit("- Mitigating Factor: '"), "feature", F.lit("' (value: "), value,
-            F.lit(") reduced log-odds by "), size,
-        )
+    words = [F.col("feature"), _fixed(F.coalesce("value", F.lit(0.0)), 2), _fixed(F.col("phi"), 3)]
+    sentence = F.when(F.col("_raising"), F.format_string(RAISING_SENTENCE, *words)).otherwise(
+        F.format_string(LOWERING_SENTENCE, *words)
     )
     # At most six sentences per provider.
     ordered = F.sort_array(
         F.collect_list(F.struct((~F.col("_raising")).alias("o"), F.col("_place").alias("p"), sentence.alias("s")))
     )
     reasons = told.groupBy("provider_id").agg(F.transform(ordered, lambda r: r["s"]).alias("decision_rationale"))
-    label = F.when(F.col("potential_fraud"), "Fraud").when(~F.col("potential_fraud"), "Non-Fraud").otherwise("Unknown")
+    fraud = F.col("potential_fraud")
+    label = F.when(fraud, LABEL_TRUE).when(~fraud, LABEL_FALSE).otherwise(LABEL_MISSING)
     return scores.join(reasons, "provider_id", "left").select(
         "provider_id",
         F.bround("probability", 4).alias("predicted_fraud_probability"),
-        F.when(F.col("probability") >= threshold, "CRITICAL / HIGH").otherwise("LOW / MONITORED").alias("assigned_risk_tier"),
+        F.when(F.col("probability") >= threshold, TIER_ABOVE).otherwise(TIER_BELOW).alias("assigned_risk_tier"),
         label.alias("ground_truth_label"),
         F.coalesce("decision_rationale", F.array().cast("array<string>")).alias("decision_rationale"),
     )

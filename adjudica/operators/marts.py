@@ -9,16 +9,18 @@ from adjudica.functions.money import as_money, avg_money, cents, from_units, sca
 from adjudica.operators.analytics import claim_month, portfolio_kpi
 from adjudica.operators.star import Star
 
+# Cuts, tier names and size of the drill-through extract.
 DEFAULT_THRESHOLD = 0.5
 MEDIUM_FLOOR = 0.30
+HIGH, MEDIUM, LOW = "High Risk", "Medium Risk", "Low Risk"
 DRILL_ROWS = 15_000
 
 
 def risk_tier(probability: Column, threshold: float = DEFAULT_THRESHOLD) -> Column:
     return (
-        F.when(probability >= threshold, "High Risk")
-        .when((probability >= MEDIUM_FLOOR) & (probability < threshold), "Medium Risk")
-        .otherwise("Low Risk")
+        F.when(probability >= threshold, HIGH)
+        .when((probability >= MEDIUM_FLOOR) & (probability < threshold), MEDIUM)
+        .otherwise(LOW)
     )
 
 

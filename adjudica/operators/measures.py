@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adjudica.functions.money import as_money, cents, sum_cents
+from adjudica.operators.marts import HIGH
 from adjudica.operators.ranking import global_row_number
 
 # Fraud-rate bands and display colours.
@@ -21,6 +22,11 @@ RAG_DEFAULT = "#BDC3C7"
 TIER_COLOURS = {"High Risk": "#D9534F", "Medium Risk": "#F0AD4E", "Low Risk": "#5CB85C"}
 TIER_DEFAULT = "#CCCCCC"
 
+# Header text (provider, percent, tier) and what stands in when
+# not exactly one provider is selected.
+SUMMARY_FORMAT = "Provider %s | Model Probability: %s%% | Tier: %s"
+NO_PROVIDER, NO_PROBABILITY, NO_TIER = "None Selected", 0.0, "Unknown"
+
 By = list[str] | None
 
 
@@ -74,11 +80,11 @@ def portfolio_fraud_rate(drill: DataFrame, by: By = None) -> DataFrame:
 
 
 def predicted_high_risk(scores: DataFrame, by: By = None) -> DataFrame:
-    return _measure(scores, "predicted_high_risk_providers", F.count_if(F.col("risk_tier") == "High Risk"), by)
+    return _measure(scores, "predicted_high_risk_providers", F.count_if(F.col("risk_tier") == HIGH), by)
 
 
 def high_risk_provider_pct(scores: DataFrame, by: By = None) -> DataFrame:
-    share = _pct(F.count_if(F.col("risk_tier") == "High Risk"), F.count_distinct("provider_id"))
+    share = _pct(F.count_if(F.col("risk_tier") == HIGH), F.count_distinct("provider_id"))
     return _measure(scores, "high_risk_provider_pct", share, by)
 
 
@@ -188,14 +194,11 @@ def provider_rank(drill: DataFrame, scores: DataFrame) -> DataFrame:
 def provider_summary(scores: DataFrame, by: By = None) -> DataFrame:
     """Header text of the selected provider, with defaults when none is."""
     selected = scores.groupBy(*(by or [])).agg(
-        _selected("provider_id", F.lit("None Selected")).alias("id"),
-        _selected("fraud_risk_probability", F.lit(0.0)).alias("p"),
-        _selected("risk_tier", F.lit("Unknown")).alias("tier"),
+        _selected("provider_id", F.lit(NO_PROVIDER)).alias("id"),
+        _selected("fraud_risk_probability", F.lit(NO_PROBABILITY)).alias("p"),
+        _selected("risk_tier", F.lit(NO_TIER)).alias("tier"),
     )
     # Half-up on the percent with one decimal, as a fixed-point number.
     percent = F.round(F.col("p").cast("decimal(12,6)") * 100, 1).cast("decimal(6,1)").cast("string")
-    text = F.concat(
-        F.lit("Provider "), F.col("id"), F.lit(" | Model Probability: "), percent,
-        F.lit("% | Tier: "), F.col("tier"),
-    )
+    text = F.format_string(SUMMARY_FORMAT, "id", percent, "tier")
     return selected.select(*(by or []), text.alias("selected_provider_risk_summary"))
