@@ -29,7 +29,13 @@ from adjudica.plans.staging import (
 from adjudica.schema import ANNUAL_AMOUNTS, CONDITIONS
 from adjudica.sources.raw_files import RAW_FILES, read_raw, write_raw
 from adjudica.sources.sinks import write_json, write_mart
-from adjudica.sources.star_store import count_rows, read_star, reconcile_counts, table_counts, write_star
+from adjudica.sources.star_store import (
+    broadcast_if_small,
+    count_rows,
+    reconcile_counts,
+    table_counts,
+    write_star,
+)
 from adjudica.sources.testdata import hashed_attributions, hashed_scores, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -347,7 +353,7 @@ def _portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every claim in the drill-through shape the claim measures read."""
     s = staged_star(spark, sf_dir)
     labels = s["dim_providers"].select("provider_id", F.col("fraud_label").alias("ground_truth_fraud"))
-    return s["fact_claims_unified"].join(labels, "provider_id")
+    return s["fact_claims_unified"].join(broadcast_if_small(labels), "provider_id")
 
 
 def _on_portfolio(build) -> Query:

@@ -1,10 +1,10 @@
-from pyspark.errors import AnalysisException  # noqa: F401
+import pytest
 from pyspark.sql import functions as F
 
 from adjudica.operators import analytics, sampling, star
 from adjudica.schema import ANNUAL_AMOUNTS, CONDITIONS, RAW_COLUMNS, STAR_SCHEMAS
 from adjudica.sources.raw_files import RAW_FILES, read_raw, write_raw
-from adjudica.sources.star_store import count_rows, load_star, read_star, reconcile_counts, table_counts, write_star
+from adjudica.sources.star_store import LoadError, count_rows, load_star, read_star, reconcile_counts, table_counts, verify_load, write_star
 
 
 def raw(spark, labels=None, benes=None, inpatient=None, outpatient=None):
@@ -117,7 +117,11 @@ def test_store_counts_and_reconciliation(spark, tmp_path):
 def test_write_star_replaces(spark, tmp_path):
     built = star.build_star(raw(spark))
     for _ in range(2):
-        write_star(built, str(tmp_path))
+        sent = write_star(built, str(tmp_path))
+    assert sent == counts(built)
+    verify_load(spark, str(tmp_path), sent)
+    with pytest.raises(LoadError, match="dim_providers: sent 9, stored 2"):
+        verify_load(spark, str(tmp_path), sent | {"dim_providers": 9})
     assert counts(read_star(spark, str(tmp_path))) == counts(built)
 
 
