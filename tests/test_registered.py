@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from adjudica.plans.catalogue import all_queries
+from oracles import all_oracles
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
