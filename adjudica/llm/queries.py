@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import language_id, quality, toxicity, url_filter
+from adjudica.llm import language_id, packing, pieces, quality, toxicity, url_filter
 from adjudica.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,24 @@ URL_RULES = [
 ]
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    )
+    return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids", "source")
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -40,7 +59,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op3_url_filter, op5_quality, op8_language_id, op10_toxicity)}
+    return {q.__name__: q for q in (op1_packing, op2_sentencepiece, op3_url_filter, op5_quality, op8_language_id, op10_toxicity)}
 
 
 _URL_SQL = f"""
