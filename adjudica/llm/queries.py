@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import language_id, packing, pieces, quality, toxicity, url_filter
+from adjudica.llm import jaccard_join, language_id, packing, pieces, quality, toxicity, url_filter
 from adjudica.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(quality.learnable(docs), quality.learnable(labels))
@@ -59,7 +63,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_packing, op2_sentencepiece, op3_url_filter, op5_quality, op8_language_id, op10_toxicity)}
+    return {q.__name__: q for q in (op1_packing, op2_sentencepiece, op3_url_filter, op4_jaccard_join, op5_quality, op8_language_id, op10_toxicity)}
 
 
 _URL_SQL = f"""
@@ -84,5 +88,25 @@ FROM judged j LEFT JOIN fitting f ON j.page_id = f.page_id
 """
 
 
+_JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s FROM words
+), sizes AS (SELECT doc_id, len(s) AS n FROM sets
+), items AS (SELECT doc_id, unnest(s) AS shingle FROM sets
+), met AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM met JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * o >= 85 * (a.n + b.n - o)
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN both_ways l ON r.other = l.x
+)
+SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id FROM sizes s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op3_url_filter": _URL_SQL}
+    return {"op3_url_filter": _URL_SQL, "op4_jaccard_join": _JACCARD_SQL}
