@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adjudica.session import work_dir
@@ -36,13 +36,16 @@ def fold(id_col: str, folds: int) -> Column:
 def few(df: DataFrame, per_class: int, class_col: str, id_col: str = "doc_id") -> DataFrame:
     """At most ``per_class`` rows of each class, the first ones by a hash of the id.
 
-    A bounded training sample; the window keeps that many rows per task before
-    the shuffle, so no task gathers a whole class.
+    A bounded training sample. Each class first keeps the share of the hash range
+    that holds about four times as many rows, so the window that picks the rows
+    gets a bounded number however many there are. Classes are labels: few.
     """
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(class_col).orderBy(F.xxhash64(id_col), F.col(id_col))
-    return df.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= per_class).drop("_rn")
+    sizes = df.groupBy(class_col).agg(F.count("*").alias("_size"))
+    share = F.least(F.lit(1.0), (4.0 * per_class + 100) / F.col("_size"))
+    place = F.pmod(F.xxhash64(id_col), F.lit(1 << 30))
+    near = df.join(F.broadcast(sizes), class_col).where(place <= share * (1 << 30))
+    order = Window.partitionBy(class_col).orderBy(place, F.col(id_col))
+    return near.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= per_class).select(*df.columns)
 
 
 def _distinct_edges(df: DataFrame, label: str) -> DataFrame:
