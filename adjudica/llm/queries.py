@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import embedding_dedup, jaccard_join, language_id, packing, pieces, quality, toxicity, url_filter
+from adjudica.llm import embedding_dedup, jaccard_join, language_id, neighbours, packing, pieces, quality, toxicity, url_filter
 from adjudica.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(docs, language_id.train(quality.learnable(docs, folds=3, held_out=1)))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(quality.learnable(docs), quality.learnable(labels))
@@ -67,7 +71,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_packing, op2_sentencepiece, op3_url_filter, op4_jaccard_join, op5_quality, op7_embedding_dedup, op8_language_id, op10_toxicity)}
+    return {q.__name__: q for q in (op1_packing, op2_sentencepiece, op3_url_filter, op4_jaccard_join, op5_quality, op7_embedding_dedup, op8_language_id, op9_nearest_neighbours, op10_toxicity)}
 
 
 _URL_SQL = f"""
