@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import embedding_dedup, jaccard_join, language_id, neighbours, packing, pieces, quality, toxicity, url_filter
+from adjudica.llm import embedding_dedup, jaccard_join, language_id, neighbours, packing, pieces, quality, substring_dedup, toxicity, url_filter
 from adjudica.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, model)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -71,7 +75,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_packing, op2_sentencepiece, op3_url_filter, op4_jaccard_join, op5_quality, op7_embedding_dedup, op8_language_id, op9_nearest_neighbours, op10_toxicity)}
+    return {q.__name__: q for q in (op1_packing, op2_sentencepiece, op3_url_filter, op4_jaccard_join, op5_quality, op6_substring_dedup, op7_embedding_dedup, op8_language_id, op9_nearest_neighbours, op10_toxicity)}
 
 
 _URL_SQL = f"""
