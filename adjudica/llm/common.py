@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +31,30 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores until no column has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def rows_where(df: DataFrame, text_col: str, accepts_of: Callable[[], Callable[[list], np.ndarray]]) -> DataFrame:
+    """The rows whose text is accepted, with all their columns and without a shuffle.
+
+    ``accepts_of`` is called once in every task and gives a function from a list of
+    texts to a mask.
+    """
+    name = free_name(df, "_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        accepts = accepts_of()
+        for batch in batches:
+            mask = pa.array(np.asarray(accepts(batch[name].to_pylist()), bool))
+            yield batch.drop_columns([name]).filter(mask)
+
+    return df.withColumn(name, F.col(text_col).cast("string")).mapInArrow(run, df.schema)
+
+
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import few, fold, texts
+from adjudica.llm.common import few, fold, rows_where, texts
 
 #: Family of a language; one that is not listed is a family of its own.
 FAMILIES = {
@@ -170,3 +170,14 @@ def languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
     found = texts(docs).mapInArrow(judge, "doc_id long, lang_pred string, score double")
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def rows_in(docs: DataFrame, model: LanguageModel, wanted: list[str] | None = None, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, in one of the wanted languages (in any learned one)."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def accepts_of():
+        decide = _Judge(sent.value)
+        return lambda found: [lang != UNDETERMINED and (wanted is None or lang in wanted) for lang, _ in map(decide, found)]
+
+    return rows_where(docs, text_col, accepts_of)

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import few, fold, texts
+from adjudica.llm.common import few, fold, rows_where, texts
 
 PER_CLASS = 1500  # labelled rows of each class to learn from: half for the dictionaries, half for the curve
 SAMPLE_BYTES = 16_384  # of each training row, at most
@@ -106,6 +106,17 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Qua
     return QualityModel(good, bad, slope, offset)
 
 
+def _judge(model: QualityModel):
+    """A function from texts to their scores; made in each task."""
+    sizes = _Sizes(model.good, model.bad)
+
+    def judge(found: list[str | None]) -> np.ndarray:
+        x = np.array([sizes.difference(t) for t in found], float)
+        return 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -30, 30)))
+
+    return judge
+
+
 def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row, whole texts.
 
@@ -115,18 +126,26 @@ def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = THRE
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of DICTIONARY_BYTES
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        sizes = _Sizes(m.good, m.bad)
+        judge = _judge(sent.value)
         for batch in batches:
-            x = np.array([sizes.difference(t) for t in batch["text"].to_pylist()], float)
-            p = 1 / (1 + np.exp(-np.clip(m.slope * x + m.offset, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(p)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(judge(batch["text"].to_pylist()))], names=["doc_id", "score"])
 
     scored = texts(docs).mapInArrow(score, "doc_id long, score double")
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def good_rows(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that score at least the threshold."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def accepts_of():
+        judge = _judge(sent.value)
+        return lambda found: judge(found) >= threshold
+
+    return rows_where(docs, text_col, accepts_of)
+
+
 def learnable(df: DataFrame, folds: int = 5, held_out: int = 0) -> DataFrame:
     """Rows a model may learn from: those outside the held-out fold."""
     return df.where(fold("doc_id", folds) != held_out)
