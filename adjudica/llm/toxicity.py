@@ -36,7 +36,7 @@ CHUNK = 1 << 20  # characters read at once
 SEED_WORDS = frozenset("idiot moron stupid trash scum loser pathetic worthless disgusting clown fool dumb".split())
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta vous votre usted tú ti vosotros".split())
 NAMES = ["words", "lexicon", "lexicon_max", "stems", "stems_max", "seeds", "near_you", "you", "capitals", "shouted", "marks", "repeats", "disguised"]
-_WORD = re.compile(r"\w+(?:[@$*!|.\-]\w+)*[$!]?")
+_WORD = re.compile(r"\w+(?:[@$*!|.\-]\w+)*\$?")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _DISGUISE = str.maketrans("@43105$7!|", "aaeiosstii")  # one letter for each mark
 _MARK = re.compile(r"[^\w\s]")
@@ -155,8 +155,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Toxic
     """
     label = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     label = label.where("label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
-    known = texts(docs).where("text is not null").join(label, "doc_id")
-    rows = few(known.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "label"), PER_CLASS, "label")
+    # The sample is picked from the labels and sent to the texts, of which none is shuffled.
+    known = texts(docs).where("text is not null").join(F.broadcast(few(label, PER_CLASS, "label")), "doc_id")
+    rows = known.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "label")
     rows = staged(rows, "toxicity-sample")
     part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) > 0
     fit, rest = rows.where(part), rows.where(~part)
