@@ -25,17 +25,42 @@ def clean_id(name: str) -> Column:
 
 
 def lenient_date(col: Column | str) -> Column:
-    """ISO day text as a date; anything else is NULL instead of an error."""
+    """Year-month-day text, a time after it or not, as a date.
+
+    Anything else is NULL instead of an error; the audit counts it.
+    """
     text = F.trim(_column(col))
-    return F.when(F.length(text) == 10, text.try_cast("date"))
+    return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"), text.try_cast("date"))
 
 
 def lenient_int(col: Column | str) -> Column:
     return F.trim(_column(col)).try_cast("int")
 
 
+def unreadable_date(name: str) -> Column:
+    """There is a text, but it is no date."""
+    return null_tokens(name).isNotNull() & lenient_date(name).isNull()
+
+
+def _number(name: str) -> Column:
+    return F.trim(null_tokens(name)).try_cast("double")
+
+
+def unreadable_amount(name: str) -> Column:
+    """There is a text, but it is no number."""
+    return null_tokens(name).isNotNull() & _number(name).isNull()
+
+
+def amount_too_large(name: str) -> Column:
+    """A number that the stored type cannot hold."""
+    return _number(name).isNotNull() & F.trim(F.col(name)).try_cast("decimal(12,2)").isNull()
+
+
 def money_or_zero(col: Column | str) -> Column:
-    """Amount with two decimals; missing or unreadable gives 0.00."""
+    """Amount with two decimals; missing gives 0.00.
+
+    So do unreadable and too large ones, which the audit reports as errors first.
+    """
     return F.coalesce(
         F.trim(_column(col)).try_cast("decimal(12,2)"), F.lit(0).cast("decimal(12,2)")
     )

@@ -121,17 +121,21 @@ def condition_prevalence(star: Star) -> DataFrame:
     flags = star["dim_beneficiaries"].select(
         "bene_id", *[F.col(name).cast("int").alias(name) for name in COMPARED_CONDITIONS]
     )
-    pairs = (
+    # Added up per provider before the provider join.
+    per_provider = (
         star["fact_claims_unified"]
         .groupBy("provider_id", "bene_id")
         .agg(F.count("*").alias("n"), sum_cents("reimbursed_amount").alias("paid"))
-        .join(star["dim_providers"].select("provider_id", "fraud_label"), "provider_id")
         .join(flags, "bene_id")
+        .groupBy("provider_id")
+        .agg(
+            F.sum("n").alias("n"), F.sum("paid").alias("paid"),
+            *[F.sum(F.col(name) * F.col("n")).alias(name) for name in COMPARED_CONDITIONS],
+        )
     )
-    sums = pairs.groupBy("fraud_label").agg(
-        F.sum("n").alias("claims"),
-        F.sum("paid").alias("paid"),
-        *[F.sum(F.col(name) * F.col("n")).alias(name) for name in COMPARED_CONDITIONS],
+    labelled = per_provider.join(star["dim_providers"].select("provider_id", "fraud_label"), "provider_id")
+    sums = labelled.groupBy("fraud_label").agg(
+        F.sum("n").alias("claims"), F.sum("paid").alias("paid"), *[F.sum(name).alias(name) for name in COMPARED_CONDITIONS]
     )
     return sums.select(
         "fraud_label", "claims", as_money(F.col("paid")).alias("total_reimbursement"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adjudica.functions.money import as_money, avg_money, cents, from_units, scaled_ratio, sum_cents
-from adjudica.operators.analytics import claim_month, portfolio_kpi
+from adjudica.operators.analytics import claim_month, portfolio_kpi, state_totals
 from adjudica.operators.star import Star
 
 # Cuts, tier names and size of the drill-through extract.
@@ -106,22 +106,25 @@ def temporal_trends(star: Star) -> DataFrame:
 
 def state_geographic_summary(star: Star) -> DataFrame:
     """All states, busiest first, with the claims of flagged providers."""
-    pairs = (
+    # Claims are reduced to (state, provider) before the provider join; a patient has one state.
+    per_state = (
         star["fact_claims_unified"]
-        .groupBy("provider_id", "bene_id")
-        .agg(F.count("*").alias("n"), sum_cents("reimbursed_amount").alias("paid"))
-        .join(star["dim_providers"].select("provider_id", "potential_fraud"), "provider_id")
+        .select("bene_id")
+        .distinct()
         .join(star["dim_beneficiaries"].select("bene_id", "state_id"), "bene_id")
+        .groupBy(F.col("state_id").alias("_state"))
+        .agg(F.count("*").alias("total_patients"))
     )
+    totals = state_totals(star).select("state_id", "provider_id", "n", "paid", "potential_fraud")
     return (
-        pairs.groupBy("state_id")
+        totals.groupBy("state_id")
         .agg(
             F.sum("n").alias("total_claims"),
-            F.count_distinct("bene_id").alias("total_patients"),
-            F.count_distinct("provider_id").alias("total_providers"),
+            F.count("*").alias("total_providers"),
             F.sum("paid").alias("paid"),
             F.sum(F.when(F.col("potential_fraud"), F.col("n")).otherwise(0)).alias("fraud_claims_count"),
         )
+        .join(per_state, F.col("state_id").eqNullSafe(F.col("_state")))
         .orderBy(F.desc("total_claims"), "state_id")
         .select(
             "state_id", "total_claims", "total_patients", "total_providers",

@@ -1,7 +1,7 @@
 """The twenty dashboard measures.
 
-``drill`` is any frame of claims in the drill-through shape (the documented
-default is the 15,000-row extract), ``scores`` the provider risk scores and
+``drill`` is any frame of claims in the drill-through shape: all claims, or the
+extract of the largest ones if that is passed. ``scores`` the provider risk scores and
 ``trends`` the monthly trends. ``by`` names grouping columns, so a dashboard
 filter is a ``where`` on the argument and a breakdown is a ``by``.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from adjudica.functions.money import as_money, cents, sum_cents
 from adjudica.operators.marts import HIGH
 from adjudica.operators.ranking import global_row_number
+from adjudica.session import checkpointed
 
 # Fraud-rate bands and display colours.
 RED_ABOVE, AMBER_FROM = 35, 20
@@ -175,7 +176,8 @@ def provider_rank(drill: DataFrame, scores: DataFrame) -> DataFrame:
     """Dense rank of every selected provider by money; without claims 0.
 
     Ranks are given to the distinct totals, which are numbered over
-    range-partitioned slices, and then looked up per provider.
+    range-partitioned slices, and then looked up per provider. Providers without
+    money would all meet on one total, so their rank is one number for them.
     """
     totals = drill.groupBy("provider_id").agg(sum_cents("reimbursed_amount").alias("paid"))
     providers = (
@@ -183,8 +185,10 @@ def provider_rank(drill: DataFrame, scores: DataFrame) -> DataFrame:
         .join(totals, "provider_id", "left")
         .select("provider_id", F.coalesce("paid", F.lit(0)).alias("paid"))
     )
-    ranks = global_row_number(providers.select("paid").distinct(), [F.desc("paid")], "rank")
-    return providers.join(ranks, "paid").select(
+    ranks = checkpointed(global_row_number(providers.select("paid").distinct(), [F.desc("paid")], "rank"))
+    of_none = ranks.where("paid = 0").agg(F.max("rank")).scalar()
+    ranked = providers.where("paid <> 0").join(ranks, "paid").select(*providers.columns, "rank")
+    return ranked.union(providers.where("paid = 0").select("*", of_none)).select(
         "provider_id",
         as_money(F.col("paid")).alias("total_reimbursement"),
         F.col("rank").alias("provider_state_reimbursement_rank"),

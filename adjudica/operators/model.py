@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -9,6 +10,7 @@ from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from adjudica.operators import metrics
 from adjudica.operators.features import FEATURES
 from adjudica.operators.split import LABEL, assert_disjoint, class_weight, fold_assignment, group_split
-from adjudica.session import side_by_side
+from adjudica.session import checkpointed, side_by_side, work_dir
 
 # Training parameters of the boosted trees.
 ROUNDS = 180
@@ -44,9 +46,15 @@ def _labelled(features: DataFrame) -> DataFrame:
 
 
 def _packed(vectors: DataFrame) -> DataFrame:
-    """Training rows in partitions of even, useful size, kept for all rounds."""
+    """Training rows in partitions of even, useful size, kept for all rounds.
+
+    A provider's partition and its place there follow from its id alone, and their
+    number from the number of rows, so the seeded row sampling of the trees does
+    not depend on how the input was laid out.
+    """
     rows = vectors.count()
-    return vectors.repartition(max(1, -(-rows // ROWS_PER_PARTITION))).persist()
+    dealt = vectors.repartition(max(1, -(-rows // ROWS_PER_PARTITION)), "provider_id")
+    return dealt.sortWithinPartitions("provider_id").persist()
 
 
 def with_probability(model, vectors: DataFrame, out: str = "probability") -> DataFrame:
@@ -77,7 +85,7 @@ def fit_trees(train: DataFrame, positive_weight: float, rounds: int = ROUNDS, se
         subsamplingRate=ROW_SHARE, featureSubsetStrategy=COLUMN_SHARE, seed=seed,
         maxMemoryInMB=1024,
     )
-    rows = _packed(weighted.select("features", "label", "weight"))
+    rows = _packed(weighted.select("provider_id", "features", "label", "weight"))
     try:
         return trees.fit(rows)
     finally:
@@ -94,7 +102,7 @@ def fit_logistic(train: DataFrame) -> PipelineModel:
         "weight",
         F.col("_s.n")
         / (2 * F.greatest(F.when(F.col("label") == 1, F.col("_s.p")).otherwise(F.col("_s.n") - F.col("_s.p")), F.lit(1))),
-    ).select("features", "label", "weight")
+    ).select("provider_id", "features", "label", "weight")
     rows = _packed(balanced)
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(rows)
     logistic = LogisticRegression(
@@ -104,11 +112,20 @@ def fit_logistic(train: DataFrame) -> PipelineModel:
         regParam=1.0 / max(rows.count(), 1),
     )
     try:
-        return PipelineModel([scaler, logistic.fit(scaler.transform(rows))])
+        return PipelineModel([scaler, _without_summary(logistic.fit(scaler.transform(rows)))])
     finally:
         rows.unpersist()
 
 
+def _without_summary(model: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The model as it is stored: its training summary holds the session, which
+    tasks that score with the model could not be sent."""
+    spark = SparkSession.active()
+    path = f"{work_dir(spark)}/{spark.sparkContext.applicationId}/logistic-{uuid.uuid4().hex[:12]}"
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def baselines(train: DataFrame, test: DataFrame, logistic: PipelineModel) -> DataFrame:
     """(model, precision, recall, f1_score, roc_auc, pr_auc) of both baselines."""
 
@@ -139,7 +156,7 @@ def cross_validate(
 
     Folds are fitted side by side; their number is a small constant.
     """
-    assigned = fold_assignment(train, folds, seed).cache()
+    assigned = checkpointed(fold_assignment(train, folds, seed))
 
     def one(fold: int) -> DataFrame:
         model = fit_trees(assigned.where(F.col("fold") != fold), weight, rounds, seed)
@@ -188,7 +205,7 @@ def train_and_evaluate(
 
     ``folds=0`` leaves the cross-validation out.
     """
-    split = group_split(features, seed=seed).cache()
+    split = checkpointed(group_split(features, seed=seed))
     assert_disjoint(split)
     train, test = (split.where(F.col("split") == side).drop("split") for side in ("train", "test"))
     weight = positive_weight(train)

@@ -12,9 +12,10 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.functions.cleanse import decode_label, lenient_date
+from adjudica.functions.cleanse import amount_too_large, clean_id, decode_label, lenient_date, unreadable_amount, unreadable_date
 from adjudica.functions.money import from_units, scaled_ratio
 from adjudica.schema import (
+    ANNUAL_AMOUNTS,
     FACTS,
     LEAKAGE_COLUMNS,
     MAX_LENGTHS,
@@ -25,6 +26,9 @@ from adjudica.schema import (
 
 ERROR, WARNING = "error", "warning"
 VALID_LABELS = ["Yes", "No", "0", "1"]
+CLAIM_IDS = ["ClaimID", "BeneID", "Provider"]
+CLAIM_DATES = ["ClaimStartDt", "ClaimEndDt"]
+CLAIM_AMOUNTS = ["InscClaimAmtReimbursed", "DeductibleAmtPaid"]
 
 
 class DataQualityError(Exception):
@@ -32,7 +36,29 @@ class DataQualityError(Exception):
 
 
 def _number(name: str) -> Column:
-    return F.trim(F.col(name)).try_cast("decimal(18,2)")
+    return F.trim(F.col(name)).try_cast("double")
+
+
+def _any(test, names: list[str]) -> Column:
+    """Rows in which one of the columns fails."""
+    found = test(names[0])
+    for name in names[1:]:
+        found = found | test(name)
+    return F.count_if(found)
+
+
+def _missing(name: str) -> Column:
+    return clean_id(name).isNull()
+
+
+def _reading(ids: list[str], dates: list[str], amounts: list[str]) -> list[tuple[str, str, list[str], Column]]:
+    """What the typed tables would lose in reading."""
+    return [
+        ("missing_id", ERROR, ids, _any(_missing, ids)),
+        ("unreadable_date", WARNING, dates, _any(unreadable_date, dates)),
+        ("unreadable_amount", ERROR, amounts, _any(unreadable_amount, amounts)),
+        ("amount_too_large", ERROR, amounts, _any(amount_too_large, amounts)),
+    ]
 
 
 def _duplicates(name: str) -> Column:
@@ -48,10 +74,17 @@ def _raw_rules(as_of: datetime.date) -> dict[str, list[tuple[str, str, list[str]
         "labels": [
             ("label_domain", ERROR, ["PotentialFraud"], F.count_if(~F.trim("PotentialFraud").isin(VALID_LABELS))),
             ("duplicate_providers", ERROR, ["Provider"], _duplicates("Provider")),
+            ("missing_id", ERROR, ["Provider"], _any(_missing, ["Provider"])),
+            (
+                "conflicting_labels", ERROR, ["Provider", "PotentialFraud"],
+                F.count_distinct(F.trim("Provider"), F.trim("PotentialFraud"))
+                - F.count_distinct(F.when(F.col("PotentialFraud").isNotNull(), F.trim("Provider"))),
+            ),
         ],
         "beneficiary": [
             ("birth_in_future", ERROR, ["DOB"], F.count_if(born > F.lit(as_of))),
             ("death_before_birth", ERROR, ["DOB", "DOD"], F.count_if(died < born)),
+            *_reading(["BeneID"], ["DOB", "DOD"], list(ANNUAL_AMOUNTS)),
         ],
         "inpatient": [
             ("negative_reimbursement", ERROR, ["InscClaimAmtReimbursed"], F.count_if(_number("InscClaimAmtReimbursed") < 0)),
@@ -60,9 +93,11 @@ def _raw_rules(as_of: datetime.date) -> dict[str, list[tuple[str, str, list[str]
                 F.count_if(lenient_date("DischargeDt") < lenient_date("AdmissionDt")),
             ),
             ("duplicate_claims", WARNING, ["ClaimID"], _duplicates("ClaimID")),
+            *_reading(CLAIM_IDS, [*CLAIM_DATES, "AdmissionDt", "DischargeDt"], CLAIM_AMOUNTS),
         ],
         "outpatient": [
             ("negative_reimbursement", ERROR, ["InscClaimAmtReimbursed"], F.count_if(_number("InscClaimAmtReimbursed") < 0)),
+            *_reading(CLAIM_IDS, CLAIM_DATES, CLAIM_AMOUNTS),
         ],
     }
 
@@ -253,14 +288,35 @@ def foreign_key_audit(
     facts: dict[str, DataFrame], providers: DataFrame, beneficiaries: DataFrame
 ) -> DataFrame:
     """(table, column, violations): fact rows whose key has no dimension row."""
-    parts = []
-    for table in [name for name in FACTS if name in facts]:
-        for key, dim in [("provider_id", providers), ("bene_id", beneficiaries)]:
-            per_key = facts[table].where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-            orphans = per_key.join(dim.select(key), key, "left_anti")
-            parts.append(
-                orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
-                    F.lit(table).alias("table"), F.lit(key).alias("column"), "violations"
-                )
-            )
-    return _union(parts)
+    keys = {"provider_id": providers, "bene_id": beneficiaries}
+    tables = [name for name in FACTS if name in facts]
+
+    def both(df: DataFrame) -> DataFrame:
+        return df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("column"), F.col(k).alias("key")) for k in keys])))
+
+    # One scan of each fact; a key goes on as one row per task, and one join looks up all.
+    used = _union([both(facts[t]).withColumn("table", F.lit(t)) for t in tables])
+    used = used.groupBy("table", "column", "key").agg(F.count("*").alias("n")).where(F.col("key").isNotNull())
+    known = _union([dim.select(F.lit(k).alias("column"), F.col(k).alias("key")) for k, dim in keys.items()])
+    orphans = used.join(known, ["column", "key"], "left_anti").groupBy("table", "column").agg(F.sum("n").alias("n"))
+    every = F.array(*[F.struct(F.lit(t).alias("table"), F.lit(k).alias("column")) for t in tables for k in keys])
+    return providers.sparkSession.range(1).select(F.inline(every)).join(orphans, ["table", "column"], "left").select(
+        "table", "column", F.coalesce("n", F.lit(0)).alias("violations")
+    )
+
+
+def star_audit(star: dict[str, DataFrame]) -> DataFrame:
+    """(table, column, rule, violations) of all declared constraints, keys and references."""
+    keys = primary_key_audit(star).select("table", F.col("key").alias("column"), F.lit("primary_key").alias("rule"), F.col("surplus_rows").alias("violations"))
+    references = foreign_key_audit(star, star["dim_providers"], star["dim_beneficiaries"])
+    return constraint_audit(star).select("table", "column", "rule", "violations").unionByName(keys).unionByName(
+        references.select("table", "column", F.lit("foreign_key").alias("rule"), "violations")
+    )
+
+
+def enforce_star(report: DataFrame) -> DataFrame:
+    """Raise when a stored table breaks a constraint; the report is complete by then."""
+    failed = report.where("violations > 0").orderBy("table", "column", "rule").collect()
+    if failed:
+        raise DataQualityError("; ".join(f"{r['table']}.{r['column']}: {r['rule']} ({r['violations']})" for r in failed))
+    return report

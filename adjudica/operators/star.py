@@ -28,7 +28,9 @@ def clean_providers(labels: DataFrame) -> DataFrame:
 
 
 def build_providers(labels: DataFrame) -> DataFrame:
-    return dedup_first(clean_providers(labels), "provider_id")
+    """One row per provider; one that any row flags is flagged (the audit counts conflicts)."""
+    order = [F.desc_nulls_last("potential_fraud"), F.asc_nulls_last("fraud_label")]
+    return first_per_key(clean_providers(labels), "provider_id", order)
 
 
 def clean_beneficiaries(raw: DataFrame) -> DataFrame:

@@ -164,9 +164,9 @@ def _sampled_claims(raw) -> DataFrame:
     return sampling.restrict_claims(raw["inpatient"], labels).select("ClaimID", "Provider")
 
 
-def _sampled_benes(raw) -> DataFrame:
-    cut = sampling.sample_raw(raw, 4)
-    return cut["beneficiary"].select("BeneID", "State")
+def _active_benes(raw) -> DataFrame:
+    active = sampling.active_beneficiaries(raw["beneficiary"], raw["inpatient"], raw["outpatient"])
+    return active.select("BeneID", "State")
 
 
 RAW_QUERIES = {
@@ -191,7 +191,7 @@ RAW_QUERIES = {
     "p01_stratified_sample_500": _sample(500),
     "p01_stratified_sample_40": _sample(40),
     "p02_restrict_claims": _sampled_claims,
-    "p03_active_beneficiaries": _sampled_benes,
+    "p03_active_beneficiaries": _active_benes,
     "v06_raw_metrics": quality.raw_metrics,
     "c03_foreign_keys_staged": _staged_keys,
     "c10_column_defaults": _defaults,
@@ -344,11 +344,6 @@ def _drill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.claims_drillthrough(staged_star(spark, sf_dir), _risk(spark, sf_dir))
 
 
-def _on_drill(build) -> Query:
-    """The measure over the default drill-through extract."""
-    return lambda spark, sf_dir: portable(_rounded(build(marts.drill_base(staged_star(spark, sf_dir)))))
-
-
 def _portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every claim in the drill-through shape the claim measures read."""
     s = staged_star(spark, sf_dir)
@@ -361,9 +356,7 @@ def _on_portfolio(build) -> Query:
 
 
 def _provider_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measures.provider_rank(
-        marts.drill_base(staged_star(spark, sf_dir)), staged_features(spark, sf_dir)
-    )
+    return measures.provider_rank(staged_star(spark, sf_dir)["fact_claims_unified"], staged_features(spark, sf_dir))
 
 
 def _kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -499,7 +492,7 @@ def all_queries() -> dict[str, Query]:
         "x06_contribution_breakdown": _on_given_phi(lambda phi, _: attribution.contribution_breakdown(phi)),
         "x07_narratives": _on_given_phi(_told),
     }
-    found |= {name: _on_drill(build) for name, build in CLAIM_MEASURES.items()}
+    found |= {name: _on_portfolio(build) for name, build in CLAIM_MEASURES.items()}
     found |= {
         f"{name}_by_type": _on_portfolio(lambda df, build=build: build(df, ["claim_type"]))
         for name, build in CLAIM_MEASURES.items()

@@ -7,14 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from adjudica.operators import attribution, marts, model, quality, sampling
-from adjudica.operators.analytics import ANALYTICS
+from adjudica.operators.analytics import ANALYTICS, orphan_claims
 from adjudica.operators.features import assert_no_leakage, provider_features
+from adjudica.operators.star import staged_claims
 from adjudica.sources.raw_files import read_raw
 from adjudica.sources.sinks import write_json, write_mart
 from adjudica.sources.star_store import load_star, read_star
 
-ATTRIBUTED_ROWS = 1500
-
 
 @dataclass
 class FullRun:
@@ -35,9 +34,16 @@ def load(
     if sample:
         raw = sampling.sample_raw(raw, sample)
     write_json(quality.audit(spark, raw), f"{out}/audit")
+    write_json(quality.raw_metrics(raw), f"{out}/raw_metrics")
     if fail_fast:
         quality.enforce(spark.read.json(f"{out}/audit"))
-    load_star(raw, f"{out}/star")
+    star = load_star(raw, f"{out}/star")
+    write_json(quality.star_audit(star), f"{out}/star_audit")
+    if fail_fast:
+        quality.enforce_star(spark.read.json(f"{out}/star_audit"))
+    # Against the stored dimensions: the orphans are what the load left out.
+    orphans = orphan_claims(staged_claims(raw), star["dim_providers"], star["dim_beneficiaries"])
+    write_mart(orphans, f"{out}/queries/q08_orphan_claims")
 
 
 def run(
@@ -49,11 +55,13 @@ def run(
     rounds: int = model.ROUNDS,
     folds: int = model.FOLDS,
     threshold: float = marts.DEFAULT_THRESHOLD,
+    explained_rows: int | None = None,
 ) -> FullRun:
     """Every stage in order; ``raw_dir=None`` starts from a star stored in ``out``.
 
     ``threshold`` cuts tiers, predictions and narratives. Its default matches
-    published behaviour; pass the tuned value of the bundle to use that.
+    published behaviour; pass the tuned value of the bundle to use that. All
+    providers are explained, or a sample of ``explained_rows`` of them.
     """
     if raw_dir is not None:
         load(spark, raw_dir, out, sample, fail_fast)
@@ -65,10 +73,13 @@ def run(
 
     trained = model.train_and_evaluate(features, rounds, folds)
     bundle = model.save_bundle(trained, f"{out}/model")
+    write_json(trained.baselines, f"{out}/reports/baselines")
+    if trained.cross_validation is not None:
+        write_json(trained.cross_validation, f"{out}/reports/cross_validation")
     model.score(trained.trees, features).write.mode("overwrite").parquet(f"{out}/scores")
     scores = spark.read.parquet(f"{out}/scores")
 
-    explained = sampling.sample_rows(features, ATTRIBUTED_ROWS)
+    explained = sampling.sample_rows(features, explained_rows) if explained_rows else features
     phi = attribution.attributions(trained.trees, f"{bundle}/trees", explained)
     phi.write.mode("overwrite").parquet(f"{out}/attributions")
     phi = spark.read.parquet(f"{out}/attributions")

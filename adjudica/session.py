@@ -31,6 +31,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     return spark
 
 
+_own: dict[str, str] = {}  # folder of a local session that names none
+
+
 def work_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -38,13 +41,13 @@ def work_dir(spark: SparkSession) -> str:
     cluster a missing setting is an error rather than a machine-local folder.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _own.get(context.applicationId)
     if configured is None:
         configured = context.getCheckpointDir()
     if configured is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="adjudica-")
+        configured = _own.setdefault(context.applicationId, tempfile.mkdtemp(prefix="adjudica-"))
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured.rstrip("/")

@@ -18,12 +18,17 @@ RAW_FILES = {
 def read_raw(spark: SparkSession, folder: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """The raw tables as text columns; every missing-value text is NULL.
 
-    Columns come from the header line, so source files may hold more of them in
-    any order. No types are inferred: that would read the whole input twice.
+    Columns come from the header line, so a table may hold more of them in any
+    order. All files of a table must have the same header: Spark compares each
+    file's with the first one's, and a file with another order or another column
+    stops the read instead of landing in the wrong columns. No types are inferred:
+    that would read the whole input twice.
     """
     tables = {}
     for table, name in (files or RAW_FILES).items():
-        text = spark.read.option("header", True).option("nullValue", "NA").csv(f"{folder}/{name}")
+        reader = spark.read.option("header", True).option("nullValue", "NA")
+        schema = reader.csv(f"{folder}/{name}").schema
+        text = reader.schema(schema).option("enforceSchema", False).csv(f"{folder}/{name}")
         tables[table] = text.select(*[null_tokens(column).alias(column) for column in text.columns])
     return tables
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,17 +27,27 @@ class LoadError(Exception):
     """The stored tables do not fit together."""
 
 
-def _write(df: DataFrame, path: str) -> None:
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame and the rows that pass through it once it has been written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def _write(df: DataFrame, path: str) -> int:
+    """Write a table; gives the rows sent."""
+    df, seen = _counted(df)
     df.withColumn("created_at", F.current_timestamp()).write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
 
 
-def _write_unified(unified: DataFrame, path: str) -> None:
-    """The narrow fact in month folders.
+def _write_unified(unified: DataFrame, path: str) -> int:
+    """The narrow fact in month folders; gives the rows sent.
 
     The rebalance splits a heavy month over several files and merges light
     ones; rows are clustered by provider inside a file so that row groups can
     be skipped by provider.
     """
+    unified, seen = _counted(unified)
     (
         unified.withColumn("created_at", F.current_timestamp())
         .withColumn(MONTH, F.date_format("claim_start_date", "yyyy-MM"))
@@ -47,6 +57,7 @@ def _write_unified(unified: DataFrame, path: str) -> None:
         .partitionBy(MONTH)
         .parquet(path)
     )
+    return seen.get["rows"]
 
 
 def write_star(tables: Star, path: str) -> None:
@@ -55,12 +66,19 @@ def write_star(tables: Star, path: str) -> None:
         (_write_unified if name == UNIFIED else _write)(tables[name], f"{path}/{name}")
 
 
-def verify_load(spark: SparkSession, path: str) -> None:
-    """Every table is there and the unified fact holds both kinds of claims.
+def verify_load(spark: SparkSession, path: str, sent: dict[str, int] | None = None) -> None:
+    """Every table is there with the rows that were sent to it, and the unified
+    fact holds both kinds of claims.
 
-    Only file footers are read.
+    Only file footers are read; ``sent`` was counted while writing.
     """
-    rows = {row["table"]: row["rows"] for row in table_counts(spark, path).collect()}
+    stored = table_counts(spark, path)
+    if sent is not None:
+        expected = spark.createDataFrame(list(sent.items()), "table string, rows bigint")
+        short = reconcile_counts(stored, expected).where("NOT ok").orderBy("table").collect()
+        if short:
+            raise LoadError("; ".join(f"{r['table']} holds {r['actual']} rows of {r['expected']} sent" for r in short))
+    rows = {row["table"]: row["rows"] for row in stored.collect()}
     missing = [name for name, n in rows.items() if n is None]
     if missing:
         raise LoadError(f"not stored: {', '.join(missing)}")
@@ -85,8 +103,10 @@ def load_star(raw: dict[str, DataFrame], path: str) -> Star:
     """
     spark = raw["labels"].sparkSession
 
+    sent: dict[str, int] = {}
+
     def stored(name: str, df: DataFrame) -> DataFrame:
-        _write(df, f"{path}/{name}")
+        sent[name] = _write(df, f"{path}/{name}")
         return read_table(spark, path, name)
 
     providers, beneficiaries = side_by_side(
@@ -110,7 +130,8 @@ def load_star(raw: dict[str, DataFrame], path: str) -> Star:
         ],
     )
     _write_unified(unify_claims(inpatient, outpatient), f"{path}/{UNIFIED}")
-    verify_load(spark, path)
+    sent[UNIFIED] = sent["fact_inpatient_claims"] + sent["fact_outpatient_claims"]
+    verify_load(spark, path, sent)
     return read_star(spark, path)
 
 

@@ -89,7 +89,8 @@ def _claims(kind: str) -> str:
     return f"""
 SELECT 'BENE' || CAST(o_custkey AS STRING) AS BeneID,
   '{"I" if inpatient else "O"}' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS ClaimID,
-  CAST(ship AS STRING) AS ClaimStartDt, CAST(ship + stay AS STRING) AS ClaimEndDt,
+  CASE WHEN l_partkey % 13 = 0 THEN CAST(ship AS STRING) || ' 00:00:00' ELSE CAST(ship AS STRING) END AS ClaimStartDt,
+  CAST(ship + stay AS STRING) AS ClaimEndDt,
   'PRV' || CAST(l_suppkey AS STRING) AS Provider,
   {_money(f"CASE WHEN l_partkey % 20 = 0 THEN 0 ELSE {amount} END")} AS InscClaimAmtReimbursed,
   CASE WHEN l_partkey % 45 = 0 THEN 'NA' ELSE {_money(deductible)} END AS DeductibleAmtPaid,{stays}

@@ -89,12 +89,13 @@ EXTRA = {
   CAST(probability >= 0.5 AS BIGINT) AS model_fraud_prediction,
   CASE WHEN probability >= 0.5 THEN 'High Risk' WHEN probability >= 0.3 THEN 'Medium Risk' ELSE 'Low Risk' END AS risk_tier
   FROM exact_features f JOIN given_scores s ON f.provider_id = s.provider_id""",
-    "drill": """SELECT c.claim_id, c.claim_type, c.provider_id, p.fraud_label AS ground_truth_fraud, c.bene_id,
-  CAST(b.state_id AS BIGINT) AS state_id, CAST(b.gender AS BIGINT) AS gender, c.claim_start_date, c.claim_end_date,
-  c.reimbursed_amount, c.deductible_amount, CAST(c.length_of_stay AS BIGINT) AS length_of_stay,
-  c.attending_physician, c.primary_diagnosis_code
-  FROM fact_claims_unified c JOIN dim_providers p ON c.provider_id = p.provider_id
-  JOIN dim_beneficiaries b ON c.bene_id = b.bene_id ORDER BY c.reimbursed_amount DESC, c.claim_id, c.claim_type LIMIT 15000""",
+    "drill": """SELECT claim_id, claim_type, provider_id,
+  (SELECT fraud_label FROM dim_providers d WHERE d.provider_id = top.provider_id) AS ground_truth_fraud, bene_id,
+  (SELECT CAST(state_id AS BIGINT) FROM dim_beneficiaries d WHERE d.bene_id = top.bene_id) AS state_id,
+  (SELECT CAST(gender AS BIGINT) FROM dim_beneficiaries d WHERE d.bene_id = top.bene_id) AS gender,
+  claim_start_date, claim_end_date, reimbursed_amount, deductible_amount, CAST(length_of_stay AS BIGINT) AS length_of_stay,
+  attending_physician, primary_diagnosis_code
+  FROM (FROM fact_claims_unified ORDER BY reimbursed_amount DESC, claim_id, claim_type LIMIT 15000) top""",
     "portfolio": """SELECT c.*, p.fraud_label AS ground_truth_fraud FROM fact_claims_unified c
   JOIN dim_providers p ON c.provider_id = p.provider_id""",
     "trends": f"""SELECT {MONTH} AS claim_year_month, CAST(count(*) AS BIGINT) AS total_claims,
@@ -252,7 +253,7 @@ _BODIES = {
     "a19_provider_rank": f"""SELECT provider_id, {money('paid')} AS total_reimbursement,
   dense_rank() OVER (ORDER BY paid DESC) AS provider_state_reimbursement_rank
   FROM (SELECT p.provider_id, coalesce(paid, 0) AS paid FROM dim_providers p LEFT JOIN (
-    SELECT provider_id, {CENTS} AS paid FROM drill GROUP BY provider_id) d ON p.provider_id = d.provider_id) t""",
+    SELECT provider_id, {CENTS} AS paid FROM portfolio GROUP BY provider_id) d ON p.provider_id = d.provider_id) t""",
     "g01_claim_type_mix": f"""SELECT claim_type, claims, {money('paid')} AS total_reimbursement,
   CAST((2 * 10000 * claims + CAST(sum(claims) OVER () AS BIGINT)) // (2 * CAST(sum(claims) OVER () AS BIGINT)) AS DOUBLE) / 100 AS claim_share_pct,
   round(paid / CAST(sum(paid) OVER () AS DOUBLE) * 100, 6) AS money_share_pct
@@ -312,7 +313,7 @@ _BODIES = {
       SELECT *, {_PLACED_PHI} AS place FROM given_phi WHERE phi <> 0) p
     WHERE place <= CASE WHEN phi > 0 THEN 4 ELSE 2 END GROUP BY provider_id) n ON s.provider_id = n.provider_id""",
 }
-_BODIES |= {name: f"SELECT {value} FROM drill" for name, value in _CLAIM_MEASURES.items()}
+_BODIES |= {name: f"SELECT {value} FROM portfolio" for name, value in _CLAIM_MEASURES.items()}
 _BODIES |= {
     f"{name}_by_type": f"SELECT claim_type, {value} FROM portfolio GROUP BY claim_type"
     for name, value in _CLAIM_MEASURES.items()

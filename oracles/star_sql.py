@@ -17,7 +17,9 @@ def ident(column: str) -> str:
 
 
 def day(column: str) -> str:
-    return f"CASE WHEN length(trim({column})) = 10 THEN TRY_CAST(trim({column}) AS DATE) END"
+    # Days with or without a time of day; a bare year is not a day.
+    parsed = f"strptime(regexp_extract(trim({column}), '^([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})([ T]|$)', 1)"
+    return f"CAST(try_{parsed}, '%Y-%m-%d') AS DATE)"
 
 
 def amount(column: str) -> str:
@@ -108,7 +110,9 @@ CTES = {
     "clean_beneficiaries": _BENE_CLEAN,
     "clean_inpatient": _INP_CLEAN,
     "clean_outpatient": _OUT_CLEAN,
-    "dim_providers": _first_star("clean_providers", "dim_providers", "provider_id"),
+    "dim_providers": """SELECT provider_id, bool_or(potential_fraud) AS potential_fraud,
+  coalesce(max(fraud_label) FILTER (potential_fraud), min(fraud_label) FILTER (NOT potential_fraud), min(fraud_label)) AS fraud_label
+  FROM clean_providers GROUP BY provider_id""",
     "dim_beneficiaries": _first_star("clean_beneficiaries", "dim_beneficiaries", "bene_id"),
     "staged_inpatient": _first_star("clean_inpatient", "fact_inpatient_claims", "claim_id"),
     "staged_outpatient": _first_star("clean_outpatient", "fact_outpatient_claims", "claim_id"),

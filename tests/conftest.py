@@ -75,38 +75,43 @@ def star_of(spark, providers, benes, claims, procedures=None):
 
 @pytest.fixture(scope="session")
 def small_star(spark):
-    """4 providers (2 flagged), 3 patients, 3 inpatient and 4 outpatient claims."""
+    """4 providers (2 flagged), 4 patients in 2 states, 4 inpatient and 5 outpatient claims."""
     inp, out = "Inpatient", "Outpatient"
     claims = [
-        claim("I1", inp, "B1", "P1", "2009-01-10", 12000, 1000, 5, "D1", end="2009-01-15"),
-        claim("I2", inp, "B2", "P1", "2009-02-01", 18000, 1500, 7, "D2", end="2009-02-08"),
-        claim("I3", inp, "B3", "P3", "2009-03-05", 9500, 800, 5, "D3", end="2009-03-10"),
-        claim("O1", out, "B1", "P2", "2009-01-20", 350, 50, 0, "D4"),
-        claim("O2", out, "B2", "P2", "2009-02-10", 420, 75, 0, "D4"),
-        claim("O3", out, "B3", "P4", "2009-03-15", 680, 100, 0, "D5"),
-        claim("O4", out, "B1", "P4", "2009-04-01", 290, 40, 0, "D5"),
+        claim("S1", inp, "A", "N1", "2011-05-02", 7200, 600, 10, "KA", end="2011-05-12"),
+        claim("S2", inp, "C", "N1", "2011-06-20", 5600, 600, 4, "KB", end="2011-06-24"),
+        claim("S3", inp, "D", "N3", "2011-05-28", 8800, 400, 8, "KC", end="2011-06-05"),
+        claim("S4", inp, "B", "N2", "2011-07-01", 5100, 500, 2, "KD", end="2011-07-03"),
+        claim("T1", out, "A", "N2", "2011-05-09", 200, 20, 0, "KD"),
+        claim("T2", out, "B", "N2", "2011-06-11", 150, 10, 0, "KD"),
+        claim("T3", out, "C", "N4", "2011-07-19", 360, 30, 0, "KE"),
+        claim("T4", out, "D", "N4", "2011-07-19", 240, 0, 0, "KE"),
+        claim("T5", out, "A", "N1", "2011-06-20", 350, 40, 0, "KA"),
     ]
-    providers = [provider("P1", True), provider("P2", False), provider("P3", True), provider("P4", False)]
-    benes = [bene("B1"), bene("B2", "1960-05-15", gender=2), bene("B3", "1945-11-20", state=2)]
+    providers = [provider("N1", True), provider("N2", False), provider("N3", True), provider("N4", False)]
+    benes = [bene("A", "1938-08-01", state=3), bene("B", "1971-12-24", state=3, gender=2), bene("C", state=8), bene("D", state=8)]
     return star_of(spark, providers, benes, claims)
 
 
 @pytest.fixture(scope="session")
 def feature_star(spark):
-    """3 providers with 10 claims on one day, and a fourth without any."""
-    who = [("B1", "P1"), ("B2", "P1"), ("B3", "P2"), ("B1", "P2"), ("B2", "P3"), ("B3", "P3"), ("B1", "P1"), ("B2", "P2"), ("B3", "P3"), ("B1", "P1")]
-    paid = [4500, 3000, 1000, 500, 700, 300, 200, 100, 800, 600]
-    doctor = ["D1", "D1", "D2", "D2", "D3", None, "D1", "D2", None, "D1"]
-    code = ["4100", "7800", "4019", "V5789", "4100", "4019", "7800", "4019", "4100", None]
-    stay = [4, 5] + [0] * 8
+    """Three providers with 9 claims in 2012, and a fourth without any."""
+    inp, out = "Inpatient", "Outpatient"
     claims = [
-        claim(f"C{i}", "Inpatient" if i < 3 else "Outpatient", *who[i], "2009-01-01", paid[i], 0, stay[i], doctor[i], None, code[i])
-        for i in range(10)
+        claim("K1", inp, "U", "X1", "2012-03-04", 2400, 100, 6, "R1", "R9", "250"),
+        claim("K2", inp, "V", "X1", "2012-03-08", 1600, 100, 3, "R2", None, "486"),
+        claim("K3", out, "U", "X1", "2012-03-04", 0, 0, 0, "R1", None, "250"),
+        claim("K4", out, "U", "X1", "2012-05-01", 400, 20),
+        claim("K5", out, "V", "X1", "2012-03-08", 100, 0, 0, "R2", None, "401"),
+        claim("K6", out, "W", "X2", "2012-04-10", 75, 0, 0, "R3", None, "786"),
+        claim("K7", out, "W", "X2", "2012-04-10", 125, 0, 0, "R3", None, "786"),
+        claim("K8", out, "W", "X2", "2012-04-10", 50),
+        claim("K9", out, "V", "X3", "2012-01-02", 90, 5, 0, "R2", None, "401"),
     ]
     benes = [
-        bene("B1", "1950-01-01", flags=("chronic_alzheimer", "chronic_depression", "chronic_diabetes")),
-        bene("B2", "1960-05-10", 2, 2, True, ("chronic_heartfailure", "chronic_copd", "chronic_diabetes", "chronic_osteoporosis")),
-        bene("B3", None, flags=("chronic_kidneydisease", "chronic_stroke")),
+        bene("U", "1941-06-30", flags=("chronic_cancer", "chronic_stroke")),
+        bene("V", "1975-02-11", 5, 2, True, ("chronic_diabetes",)),
+        bene("W", None, flags=("chronic_osteoporosis", "chronic_copd", "chronic_depression")),
     ]
-    providers = [provider("P1", True), provider("P2", False), provider("P3", True), provider("P4", False)]
-    return star_of(spark, providers, benes, claims, {"C0": "3600", "C1": "3600"})
+    providers = [provider("X1", False), provider("X2", True), provider("X3", False), provider("X4", True)]
+    return star_of(spark, providers, benes, claims, {"K1": "0066", "K2": "8154"})

@@ -12,33 +12,33 @@ def rows(df):
 
 
 def test_portfolio(small_star):
-    assert rows(analytics.portfolio_kpi(small_star)) == [(7, 3, 4, Decimal("41240.00"), Decimal("5891.43"), Decimal("3565.00"))]
+    assert rows(analytics.portfolio_kpi(small_star)) == [(9, 4, 4, Decimal("28000.00"), Decimal("3111.11"), Decimal("2200.00"))]
 
 
 def test_types(small_star):
     got = {r["claim_type"]: r for r in analytics.claim_type_breakdown(small_star).collect()}
-    assert (got["Inpatient"]["claim_count"], got["Inpatient"]["total_reimbursed"]) == (3, Decimal("39500.00"))
-    assert (got["Outpatient"]["claim_count"], got["Outpatient"]["total_reimbursed"]) == (4, Decimal("1740.00"))
-    assert got["Inpatient"]["avg_length_of_stay_days"] == Decimal("5.7")
+    assert (got["Inpatient"]["claim_count"], got["Inpatient"]["total_reimbursed"]) == (4, Decimal("26700.00"))
+    assert (got["Outpatient"]["claim_count"], got["Outpatient"]["total_reimbursed"]) == (5, Decimal("1300.00"))
+    assert got["Inpatient"]["avg_length_of_stay_days"] == Decimal("6.0")
 
 
 def test_large_claims_orphans_and_states(small_star):
-    assert [r["claim_id"] for r in analytics.largest_claims(small_star).collect()] == ["I2", "I1", "I3"]
+    assert [r["claim_id"] for r in analytics.largest_claims(small_star).collect()] == ["S3", "S1", "S2", "S4"]
     assert analytics.orphan_claims(small_star["fact_claims_unified"], small_star["dim_providers"], small_star["dim_beneficiaries"]).count() == 0
     assert rows(analytics.state_breakdown(small_star)) == [
-        (1, 5, 3, Decimal("31060.00"), Decimal("40.00")), (2, 2, 2, Decimal("10180.00"), Decimal("50.00")),
+        (3, 5, 2, Decimal("13000.00"), Decimal("40.00")), (8, 4, 3, Decimal("15000.00"), Decimal("50.00")),
     ]
 
 
 def test_ranks_deciles_and_running_totals(small_star):
-    ranks = analytics.state_payout_ranks(small_star, [1, 2])
+    ranks = analytics.state_payout_ranks(small_star, [3, 8])
     assert [(r["state_id"], r["provider_id"], r["state_payout_rank"]) for r in ranks.collect()] == [
-        (1, "P1", 1), (1, "P2", 2), (1, "P4", 3), (2, "P3", 1), (2, "P4", 2),
+        (3, "N1", 1), (3, "N2", 2), (8, "N3", 1), (8, "N1", 2), (8, "N4", 3),
     ]
-    assert [(r["provider_id"], r["payout_decile"]) for r in analytics.top_payout_deciles(small_star).collect()] == [("P1", 1), ("P3", 2), ("P4", 3), ("P2", 4)]
+    assert [(r["provider_id"], r["payout_decile"]) for r in analytics.top_payout_deciles(small_star).collect()] == [("N1", 1), ("N3", 2), ("N2", 3), ("N4", 4)]
     full = {(r["provider_id"], r["payout_decile"]) for r in analytics.payout_deciles(small_star, 3).collect()}
-    assert full == {("P1", 1), ("P3", 1), ("P4", 2), ("P2", 3)}
-    assert [r[2] for r in rows(analytics.cumulative_payout(small_star))] == [Decimal(x) for x in ("12350.00", "30770.00", "40950.00", "41240.00")]
+    assert full == {("N1", 1), ("N3", 1), ("N2", 2), ("N4", 3)}
+    assert [r[2] for r in rows(analytics.cumulative_payout(small_star))] == [Decimal(x) for x in ("16200.00", "22300.00", "28000.00")]
 
 
 def test_rolling_average(spark):
@@ -84,27 +84,27 @@ def scores_of(spark, rows):
 def test_measures(small_star, spark):
     drill = marts.drill_base(small_star)
     one = lambda df: df.first()[0]
-    assert one(measures.total_claims(drill)) == 7
-    assert one(measures.total_reimbursement(drill)) == Decimal("41240.00")
-    assert round(one(measures.avg_claim_cost(drill)), 4) == 5891.4286
-    assert one(measures.total_deductibles_paid(drill)) == Decimal("3565.00")
-    assert one(measures.total_beneficiaries(drill)) == 3
-    assert one(measures.fraud_claims_count(drill)) == 3
-    assert round(one(measures.portfolio_fraud_rate(drill)), 4) == 42.8571
+    assert one(measures.total_claims(drill)) == 9
+    assert one(measures.total_reimbursement(drill)) == Decimal("28000.00")
+    assert round(one(measures.avg_claim_cost(drill)), 4) == 3111.1111
+    assert one(measures.total_deductibles_paid(drill)) == Decimal("2200.00")
+    assert one(measures.total_beneficiaries(drill)) == 4
+    assert one(measures.fraud_claims_count(drill)) == 4
+    assert round(one(measures.portfolio_fraud_rate(drill)), 4) == 44.4444
     assert one(measures.fraud_rate_rag(drill)) == "RED" and one(measures.fraud_rate_colour(drill)) == "#E74C3C"
-    assert round(one(measures.inpatient_cost_ratio(drill)), 3) == 95.781
+    assert round(one(measures.inpatient_cost_ratio(drill)), 3) == 95.357
     by_type = {r[0]: r[1] for r in measures.fraud_rate_rag(drill, ["claim_type"]).collect()}
-    assert by_type == {"Inpatient": "RED", "Outpatient": "GREEN"}
-    scores = scores_of(spark, [("P1", True, 30000.0, 0.9876, "High Risk"), ("P2", False, 770.0, 0.1, "Low Risk"), ("P9", True, None, 0.5, "High Risk")])
-    assert one(measures.active_providers(scores)) == 3 and one(measures.predicted_high_risk(scores)) == 2
-    assert round(one(measures.high_risk_provider_pct(scores)), 2) == 66.67
-    assert one(measures.fraud_loss_exposure(scores)) == Decimal("30000.00")
+    assert by_type == {"Inpatient": "RED", "Outpatient": "AMBER"}
+    scores = scores_of(spark, [("N1", True, 13150.0, 0.9876, "High Risk"), ("N2", False, 5450.0, 0.1, "Low Risk"), ("N9", True, None, 0.5, "High Risk"), ("N8", False, None, 0.1, "Low Risk")])
+    assert one(measures.active_providers(scores)) == 4 and one(measures.predicted_high_risk(scores)) == 2
+    assert round(one(measures.high_risk_provider_pct(scores)), 2) == 50.0
+    assert one(measures.fraud_loss_exposure(scores)) == Decimal("13150.00")
     assert one(measures.risk_badge_colour(scores)) == "#CCCCCC"
-    assert one(measures.risk_badge_colour(scores.where("provider_id = 'P1'"))) == "#D9534F"
+    assert one(measures.risk_badge_colour(scores.where("provider_id = 'N1'"))) == "#D9534F"
     assert one(measures.provider_summary(scores)) == "Provider None Selected | Model Probability: 0.0% | Tier: Unknown"
-    assert one(measures.provider_summary(scores.where("provider_id = 'P1'"))) == "Provider P1 | Model Probability: 98.8% | Tier: High Risk"
+    assert one(measures.provider_summary(scores.where("provider_id = 'N1'"))) == "Provider N1 | Model Probability: 98.8% | Tier: High Risk"
     assert {tuple(r) for r in measures.provider_rank(drill, scores).collect()} == {
-        ("P1", Decimal("30000.00"), 1), ("P2", Decimal("770.00"), 2), ("P9", Decimal("0.00"), 3),
+        ("N1", Decimal("13150.00"), 1), ("N2", Decimal("5450.00"), 2), ("N9", Decimal("0.00"), 3), ("N8", Decimal("0.00"), 3),
     }
 
 
@@ -120,36 +120,36 @@ def test_month_measures_respect_gaps(spark):
 
 def test_marts(small_star, spark):
     features = provider_features(small_star)
-    given = spark.createDataFrame([("P1", 0.5), ("P2", 0.3), ("P3", 0.29996), ("P4", 0.49999)], "provider_id string, probability double")
+    given = spark.createDataFrame([("N1", 0.5), ("N2", 0.3), ("N3", 0.29996), ("N4", 0.49999)], "provider_id string, probability double")
     risk = marts.provider_risk_scores(features, given)
     assert len(risk.columns) == 38
     got = {r["provider_id"]: (r["fraud_risk_probability"], r["model_fraud_prediction"], r["risk_tier"]) for r in risk.collect()}
-    assert got == {"P1": (0.5, 1, "High Risk"), "P2": (0.3, 0, "Medium Risk"), "P3": (0.3, 0, "Low Risk"), "P4": (0.5, 0, "Medium Risk")}
+    assert got == {"N1": (0.5, 1, "High Risk"), "N2": (0.3, 0, "Medium Risk"), "N3": (0.3, 0, "Low Risk"), "N4": (0.5, 0, "Medium Risk")}
     kpi = marts.kpi_summary(small_star, features).first()
-    assert kpi["total_fraud_loss_exposure_usd"] == Decimal("39500.00")
-    assert kpi["fraud_financial_share_pct"] == Decimal("95.78") and kpi["portfolio_fraud_provider_rate_pct"] == Decimal("50.00")
+    assert kpi["total_fraud_loss_exposure_usd"] == Decimal("21950.00")
+    assert kpi["fraud_financial_share_pct"] == Decimal("78.39") and kpi["portfolio_fraud_provider_rate_pct"] == Decimal("50.00")
     assert marts.state_geographic_summary(small_star).first()["total_patients"] == 2
-    drill = marts.claims_drillthrough(small_star, risk.where("provider_id <> 'P4'"))
+    drill = marts.claims_drillthrough(small_star, risk.where("provider_id <> 'N4'"))
     assert len(drill.columns) == 16 and drill.where("risk_tier IS NULL").count() == 2
 
 
 def test_dashboards(small_star, spark):
     mix = {r["claim_type"]: r["claim_share_pct"] for r in dashboards.claim_type_mix(small_star).collect()}
-    assert mix == {"Inpatient": Decimal("42.86"), "Outpatient": Decimal("57.14")}
-    assert rows(dashboards.flagged_states(small_star))[0] == (1, Decimal("30000.00"), 2, 5)
-    assert rows(dashboards.stay_quartiles(small_star)) == [(5, 5.0, 5.0, 6.0, 7, 0)]
-    assert [r["claim_id"] for r in dashboards.claim_audit(small_star, "P3").collect()] == ["I3"]
-    assert {tuple(r) for r in dashboards.physician_network(small_star, "P1").collect()} == {("P1", "D1", 1, 0.5), ("P1", "D2", 1, 0.5)}
+    assert mix == {"Inpatient": Decimal("44.44"), "Outpatient": Decimal("55.56")}
+    assert rows(dashboards.flagged_states(small_star))[0] == (8, Decimal("14400.00"), 2, 4)
+    assert rows(dashboards.stay_quartiles(small_star)) == [(2, 3.5, 6.0, 8.5, 10, 0)]
+    assert [r["claim_id"] for r in dashboards.claim_audit(small_star, "N3").collect()] == ["S3"]
+    assert {(*r[:3], round(r[3], 2)) for r in dashboards.physician_network(small_star, "N1").collect()} == {("N1", "KA", 2, 0.67), ("N1", "KB", 1, 0.33)}
     features = provider_features(small_star).withColumn("risk_tier", F.lit("High Risk"))
     quadrant = {r["provider_id"]: r["quadrant"] for r in dashboards.provider_quadrant(features).collect()}
-    assert quadrant["P1"] == "high volume, high payout" or quadrant["P1"] == "low volume, high payout"
-    kept = dashboards.filter_providers(features, small_star, states=[2], min_claims=2)
-    assert [r["provider_id"] for r in kept.collect()] == ["P4"]
+    assert quadrant["N1"] == "high volume, high payout" and quadrant["N4"] == "low volume, low payout"
+    kept = dashboards.filter_providers(features, small_star, states=[8], min_claims=2)
+    assert {r["provider_id"] for r in kept.collect()} == {"N1", "N4"}
     assert dashboards.condition_prevalence(small_star).count() == 2
 
 
 def test_provider_filter_reaches_the_scan(spark, small_star, tmp_path):
     small_star["fact_claims_unified"].write.parquet(str(tmp_path / "f"))
     star = {"fact_claims_unified": spark.read.parquet(str(tmp_path / "f"))}
-    plan = dashboards.claim_audit(star, "P1")._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(provider_id,P1)" in plan
+    plan = dashboards.claim_audit(star, "N1")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(provider_id,N1)" in plan

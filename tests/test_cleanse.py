@@ -19,8 +19,15 @@ def test_missing_texts_become_null_and_others_stay(spark):
 
 
 def test_dates_never_raise(spark):
-    got = column(spark, ["2009-01-05", " 2009-01-05 ", "2009-13-40", "NA", "", None, "2009", "2009-02-30"], cleanse.lenient_date)
-    assert got == [datetime.date(2009, 1, 5)] * 2 + [None] * 6
+    got = column(spark, ["2009-01-05", " 2009-01-05 ", "2009-13-40", "NA", "", None, "2009", "2009-02-30", "2009-01-05 00:00:00", "2009-1-5", "2009-01-05T10:30:00"], cleanse.lenient_date)
+    assert got == [datetime.date(2009, 1, 5)] * 2 + [None] * 6 + [datetime.date(2009, 1, 5)] * 3
+
+
+def test_what_reading_would_lose(spark):
+    assert column(spark, ["2009-01-05", "NA", None, "5 Jan", "2009-13-40"], cleanse.unreadable_date) == [False, False, False, True, True]
+    texts = ["12.5", "NA", None, "abc", "1,200.50", "123456789012", "9999999999.99", "-0.004"]
+    assert column(spark, texts, cleanse.unreadable_amount) == [False, False, False, True, True, False, False, False]
+    assert column(spark, texts, cleanse.amount_too_large) == [False] * 5 + [True, False, False]
 
 
 def test_flags_renal_and_labels(spark):

@@ -13,20 +13,20 @@ def by_provider(star):
 
 def test_hand_values(feature_star):
     got = by_provider(feature_star)
-    p1 = got["P1"]
-    assert (p1["total_claims"], p1["total_reimbursed"], p1["inpatient_claims"], p1["outpatient_claims"]) == (4, 8300, 2, 2)
-    assert (p1["distinct_beneficiaries"], p1["same_day_duplicate_claims"], p1["mean_length_of_stay"]) == (2, 3, 4.5)
-    assert p1["mean_patient_age"] == 54 and p1["median_reimbursed"] == 1800 and p1["max_length_of_stay"] == 5
-    assert p1["distinct_procedures"] == 1 and p1["distinct_diagnosis_codes"] == 2 and p1["distinct_operating_physicians"] == 0
-    assert p1["mean_chronic_conditions"] == 3.5 and p1["renal_disease_ratio"] == 0.5 and p1["diabetes_ratio"] == 1.0
-    assert got["P3"]["same_day_duplicate_claims"] == 2 and got["P3"]["mean_length_of_stay"] == 0
-    assert got["P3"]["mean_patient_age"] == 49
+    x1 = got["X1"]
+    assert (x1["total_claims"], x1["total_reimbursed"], x1["inpatient_claims"], x1["outpatient_claims"]) == (5, 4500, 2, 3)
+    assert (x1["distinct_beneficiaries"], x1["same_day_duplicate_claims"], x1["mean_length_of_stay"]) == (2, 4, 4.5)
+    assert x1["mean_patient_age"] == 51 and x1["median_reimbursed"] == 400 and x1["max_length_of_stay"] == 6
+    assert x1["distinct_procedures"] == 2 and x1["distinct_diagnosis_codes"] == 3 and x1["distinct_operating_physicians"] == 1
+    assert x1["mean_chronic_conditions"] == 1.5 and x1["renal_disease_ratio"] == 0.5 and x1["diabetes_ratio"] == 0.5
+    assert got["X2"]["same_day_duplicate_claims"] == 3 and got["X2"]["mean_length_of_stay"] == 0 and got["X2"]["mean_patient_age"] is None
+    assert got["X3"]["mean_patient_age"] == 34
 
 
 def test_provider_without_claims(feature_star):
-    p4 = by_provider(feature_star)["P4"]
+    x4 = by_provider(feature_star)["X4"]
     filled = {"mean_length_of_stay", "max_length_of_stay", "distinct_procedures", "same_day_duplicate_claims"}
-    assert all((p4[name] == 0) if name in filled else (p4[name] is None) for name in FEATURES)
+    assert all((x4[name] == 0) if name in filled else (x4[name] is None) for name in FEATURES)
 
 
 def test_shape_and_leakage(feature_star):

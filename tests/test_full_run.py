@@ -22,19 +22,22 @@ def test_every_stage_leaves_its_output(spark, raw_dir, tmp_path):
     out = str(tmp_path)
     done = full_run.run(spark, raw_dir, out, fail_fast=False, rounds=3, folds=0)
     assert done.features.count() == 10 and done.attributions.count() == 330
-    assert len(os.listdir(f"{out}/queries")) == 17 and len(os.listdir(f"{out}/marts")) == 5
+    assert len(os.listdir(f"{out}/queries")) == 18 and len(os.listdir(f"{out}/marts")) == 5
     tiers = spark.read.option("header", True).csv(f"{out}/marts/provider_risk_scores").groupBy("risk_tier").count()
     assert sum(r["count"] for r in tiers.collect()) == 10
     unified = spark.read.parquet(f"{out}/star/fact_claims_unified").count()
     assert unified == sum(spark.read.parquet(f"{out}/star/fact_{k}_claims").count() for k in ("inpatient", "outpatient"))
     assert spark.read.json(f"{out}/reports/importance").count() == 33
+    assert spark.read.json(f"{out}/reports/baselines").count() == 2
+    for report in ("raw_metrics", "star_audit"):
+        assert spark.read.json(f"{out}/{report}").count() > 5
 
 
 def test_error_rules_stop_the_load_after_the_report(spark, raw_dir, tmp_path):
     out = str(tmp_path)
     with pytest.raises(DataQualityError, match="death_before_birth"):
         full_run.load(spark, raw_dir, out)
-    assert spark.read.json(f"{out}/audit").count() == 20 and not os.path.exists(f"{out}/star")
+    assert spark.read.json(f"{out}/audit").count() == 34 and not os.path.exists(f"{out}/star")
 
 
 def test_sample_load(spark, raw_dir, tmp_path):

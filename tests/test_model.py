@@ -137,3 +137,12 @@ def test_breakdown_and_importance(spark):
     importance = attribution.global_importance(phi)
     assert [r["feature"] for r in attribution.top_features(importance, 2).collect()] == ["f5", "f4"]
     assert attribution.top_feature_values(phi, importance, 2).count() == 2
+
+
+def test_fit_does_not_depend_on_the_layout(features):
+    weight = model.positive_weight(features)
+    found = []
+    for parts in (3, 7):
+        trees = model.fit_trees(features.repartition(parts), weight, rounds=5)
+        found.append({r["provider_id"]: r["probability"] for r in model.score(trees, features).collect()})
+    assert found[0] == found[1]

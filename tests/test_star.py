@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adjudica.operators import analytics, sampling, star
+from adjudica.session import work_dir
 from adjudica.schema import ANNUAL_AMOUNTS, CONDITIONS, RAW_COLUMNS, STAR_SCHEMAS
 from adjudica.sources.raw_files import RAW_FILES, read_raw, write_raw
 from adjudica.sources.star_store import LoadError, count_rows, load_star, read_star, reconcile_counts, table_counts, verify_load, write_star
@@ -147,3 +148,31 @@ def test_sample_rows(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("provider_id"))
     assert sampling.sample_rows(df, 10).count() == 10
     assert sampling.sample_rows(df, 1000).count() == 100
+
+
+def test_another_header_stops_the_read(spark, tmp_path):
+    folder = tmp_path / "l.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Provider,PotentialFraud\nP1,Yes\n")
+    (folder / "b.csv").write_text("PotentialFraud,Provider\nNo,P2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, str(tmp_path), {"labels": "l.csv"})["labels"].collect()
+
+
+def test_a_flag_wins_over_its_absence(spark):
+    labels = spark.createDataFrame([("P1", "No"), ("P1", "Yes"), ("P2", "No"), ("P2", None)], "Provider string, PotentialFraud string")
+    got = {(r["provider_id"], r["potential_fraud"], r["fraud_label"]) for r in star.build_providers(labels).collect()}
+    assert got == {("P1", True, "Yes"), ("P2", False, "No")}
+
+
+def test_a_short_fact_stops_the_load(spark, tmp_path):
+    path = str(tmp_path / "star")
+    loaded = load_star(raw(spark), path)
+    sent = {name: df.count() for name, df in loaded.items()}
+    verify_load(spark, path, sent)
+    with pytest.raises(LoadError, match="fact_outpatient_claims"):
+        verify_load(spark, path, sent | {"fact_outpatient_claims": sent["fact_outpatient_claims"] + 1})
+
+
+def test_one_folder_for_a_session_without_one(spark):
+    assert work_dir(spark) == work_dir(spark)
