@@ -17,10 +17,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from adjudica.operators import marts, metrics, model, quality  # noqa: E402
 from adjudica.operators.analytics import ANALYTICS  # noqa: E402
-from adjudica.operators.features import provider_features  # noqa: E402
 from adjudica.plans import staging  # noqa: E402
 from adjudica.plans.catalogue import all_queries  # noqa: E402
 from adjudica.session import local_session  # noqa: E402
+from adjudica.sources.testdata import raw_tables  # noqa: E402
 
 
 def drain(df) -> None:
@@ -39,6 +39,8 @@ def main() -> None:
         times[name] = round(time.perf_counter() - start, 3)
 
     catalogue = all_queries()
+    # A cold JVM and its first jobs, timed apart so that the load shows its own work.
+    timed("warm_up", lambda: drain(raw_tables(spark, sf_dir)["labels"].groupBy("PotentialFraud").count()))
     timed("load_star", lambda: staging.staged_path(spark, sf_dir))
     star = staging.staged_star(spark, sf_dir)
     for name, build in ANALYTICS.items():
@@ -48,8 +50,7 @@ def main() -> None:
     timed("constraints", lambda: drain(quality.constraint_audit(star)))
     timed("primary_keys", lambda: drain(quality.primary_key_audit(star)))
     timed("foreign_keys", lambda: drain(catalogue["c03_foreign_keys"](spark, sf_dir)))
-    timed("features", lambda: drain(provider_features(star)))
-    timed("write_features", lambda: staging.staged_features(spark, sf_dir))
+    timed("features", lambda: staging.staged_features(spark, sf_dir))
     timed("model_fit", lambda: staging.staged_model(spark, sf_dir))
     if os.environ.get("BENCH_CV"):
         timed("cross_validation", lambda: drain(catalogue["m07_cross_validation"](spark, sf_dir)))

@@ -233,6 +233,11 @@ _BODIES = {
   JOIN dim_providers p ON c.provider_id = p.provider_id GROUP BY b.state_id""",
     "b06_claims_drillthrough": f"""SELECT {_DRILL_COLUMNS}, fraud_risk_probability, risk_tier
   FROM drill d LEFT JOIN risk_scores r ON d.provider_id = r.provider_id""",
+    "b07_export_all": f"""SELECT 'provider_risk_scores' AS "table", count(*) AS rows FROM risk_scores
+  UNION ALL SELECT 'kpi_summary', count(*) FROM (SELECT count(*) FROM fact_claims_unified) whole
+  UNION ALL SELECT 'temporal_trends', count(DISTINCT {MONTH}) FROM fact_claims_unified
+  UNION ALL SELECT 'state_geographic_summary', count(DISTINCT state_id) FROM fact_claims_unified JOIN dim_beneficiaries USING (bene_id)
+  UNION ALL SELECT 'claims_drillthrough_analytical', least(15000, count(*)) FROM fact_claims_unified""",
     "a05_active_providers": "SELECT count(DISTINCT provider_id) AS active_providers FROM risk_scores",
     "a09_predicted_high_risk": "SELECT count(*) FILTER (risk_tier = 'High Risk') AS predicted_high_risk_providers FROM risk_scores",
     "a10_high_risk_provider_pct": """SELECT round(coalesce(count(*) FILTER (risk_tier = 'High Risk')
