@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,14 +83,37 @@ def _few_frequent(counts: DataFrame) -> np.ndarray:
     return np.sort(rows["shingle"].to_numpy(np.int64))
 
 
-def _counts_of_frequent_texts(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
+def _having(signed: DataFrame, frequent: np.ndarray, wanted: bool) -> DataFrame:
+    """The signatures whose prefix has a frequent shingle, or those without one."""
+    sent = signed.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            probes = batch["probe"]
+            hits = np.isin(probes.flatten().to_numpy(), sent.value)
+            ends = np.concatenate([[0], np.cumsum(hits)])
+            cuts = probes.offsets.to_numpy() - probes.offsets[0].as_py()
+            yield batch.filter(pa.array((ends[cuts[1:]] > ends[cuts[:-1]]) == wanted))
+
+    return signed.mapInArrow(run, signed.schema)
+
+
+def _sent_ids(ids: DataFrame, column: str) -> Broadcast | None:
+    """The ids for the tasks, while they are few; none beyond SENT."""
+    if ids.count() > SENT:
+        return None
+    return ids.sparkSession.sparkContext.broadcast(set(ids.toPandas()[column].tolist()))
+
+
+def _counts_of_frequent_texts(docs: DataFrame, chosen: Broadcast | None, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
     """(shingle, count) over all shingles of the texts whose prefix has a frequent one."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for rows in slices(batches, 4096):
-            sets = (shingles(known.numbers(t), words) for t in rows["text"].to_pylist())
+            texts_ = (t for d, t in zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist()) if chosen is None or d in chosen.value)
+            sets = (shingles(known.numbers(t), words) for t in texts_)
             found = [s for s in sets if np.isin(s[: prefix_size(len(s), percent)], sent.value, assume_unique=True).any()]
             if found:
                 values, counts = np.unique(np.concatenate(found), return_counts=True)
@@ -99,7 +123,7 @@ def _counts_of_frequent_texts(docs: DataFrame, frequent: np.ndarray, words: int,
     return counted.where(F.col("count") > FREQUENT)
 
 
-def _prefixes(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
+def _prefixes(docs: DataFrame, chosen: Broadcast | None, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
     """(doc_id, k, digest, n, r, rare, late, last): r rare shingles in all, the prefix as its
     rare and its frequent part, and where the rare part ends in the order (END: with
     the rare shingles themselves)."""
@@ -110,8 +134,10 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -
         for rows in slices(batches):
             out: list[list] = [[] for _ in range(8)]
             for doc, text in zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist()):
+                if doc is None or (chosen is not None and doc not in chosen.value):
+                    continue
                 found = shingles(known.numbers(text), words)
-                if doc is None or not len(found):
+                if not len(found):
                     continue
                 late = np.isin(found, sent.value, assume_unique=True)
                 rare, p = found[~late], prefix_size(len(found), percent)
@@ -134,9 +160,7 @@ def _segments(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     The ids are sent to the tasks while they are few; beyond SENT every text's
     segments are made, and the join with the pairs picks the needed ones.
     """
-    ids = None
-    if needed.count() <= SENT:
-        ids = docs.sparkSession.sparkContext.broadcast(set(needed.toPandas()["rep"].tolist()))
+    ids = _sent_ids(needed, "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
@@ -199,12 +223,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     counts = signed.select(F.explode("probe").alias("shingle")).groupBy("shingle").count()
     frequent = _few_frequent(staged(counts.where(F.col("count") > FREQUENT), "jaccard-frequent"))
     if len(frequent):
-        more = staged(_counts_of_frequent_texts(docs, frequent, words, percent), "jaccard-frequent")
+        chosen = _sent_ids(_having(linked, frequent, True).select("doc_id").distinct(), "doc_id")
+        more = staged(_counts_of_frequent_texts(docs, chosen, frequent, words, percent), "jaccard-frequent")
         frequent = np.union1d(frequent, _few_frequent(more))
 
-    prefixes = _prefixes(docs, frequent, words, percent).join(
-        classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi"
-    )
+    # A prefix without frequent shingles is as it was; the others are made anew.
+    prefixes = _having(linked, frequent, False).select(
+        "doc_id", "k", "digest", "n", F.col("n").alias("r"), F.col("probe").alias("rare"), F.array().cast("array<long>").alias("late"),
+        F.when(F.size("probe") < F.col("n"), F.element_at("probe", -1)).otherwise(END).alias("last"),
+    )
+    if len(frequent):
+        hit = staged(_having(linked, frequent, True).select("doc_id", "digest").distinct(), "jaccard-hit")
+        made = _prefixes(docs, _sent_ids(hit.select("doc_id").distinct(), "doc_id"), frequent, words, percent)
+        prefixes = prefixes.unionByName(made.join(hit, ["doc_id", "digest"], "left_semi"))
+    prefixes = prefixes.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
     prefixes = staged(prefixes.dropDuplicates(["digest"]).select("k", "n", "r", "rare", "late", "last"), "jaccard-prefixes")
 
     def enough(overlap):
