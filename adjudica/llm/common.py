@@ -75,6 +75,11 @@ def few(df: DataFrame, per_class: int, class_col: str, id_col: str = "doc_id") -
     return near.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= per_class).select(*df.columns)
 
 
+def class_sizes(labels: DataFrame) -> dict[int, int]:
+    """Rows of each label 0 and 1 among all labels, for the shares a sample does not have."""
+    return {0: 0, 1: 0} | {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
+
+
 def _distinct_edges(df: DataFrame, label: str) -> DataFrame:
     return staged(df.where("a > b").distinct(), label)
 

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import few, fold, rows_where, texts
+from adjudica.llm.common import class_sizes, few, fold, rows_where, texts
 
 PER_CLASS = 1500  # labelled rows of each class to learn from: half for the dictionaries, half for the curve
 SAMPLE_BYTES = 16_384  # of each training row, at most
@@ -70,15 +70,15 @@ def _dictionary(rows: list[str]) -> bytes:
         return b"".join(blocks)[-DICTIONARY_BYTES:] or b"\n" * 8
 
 
-def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps with a little ridge."""
+def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a weighted logistic curve, by Newton steps with a little ridge."""
     scale = float(np.std(x)) or 1.0
     design = np.stack([x / scale, np.ones_like(x)], 1)
     weights = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
-        gradient = design.T @ (y - p) - 1e-2 * weights
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
+        gradient = design.T @ (weight * (y - p)) - 1e-2 * weights
+        hessian = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
         step = np.linalg.solve(hessian, gradient)
         weights += np.clip(step, -5, 5)
     return float(weights[0] / scale), float(weights[1])
@@ -87,13 +87,15 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> QualityModel:
     """Learn from at most PER_CLASS labelled rows of each class (SAMPLE_BYTES of each).
 
-    Null labels and null texts teach nothing. With no row of a class its
+    The curve weights the sample to the classes' shares of all labels. Null labels
+    and null texts teach nothing. With no row of a class its
     dictionary is empty text and the curve is flat.
     """
     label = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     label = label.where("label in (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"))
-    known = texts(docs).where("text is not null").join(label, "doc_id")
-    rows = few(known.select("doc_id", F.substring("text", 1, SAMPLE_BYTES).alias("text"), "label"), PER_CLASS, "label")
+    # The sample is picked from the labels and sent to the texts, of which none is shuffled.
+    known = texts(docs).where("text is not null").join(F.broadcast(few(label, PER_CLASS, "label")), "doc_id")
+    rows = known.select("doc_id", F.substring("text", 1, SAMPLE_BYTES).alias("text"), "label")
     rows = sorted(rows.collect(), key=lambda r: (r["label"], hash((r["doc_id"], 7)), r["doc_id"]))
     kinds = {k: [r["text"] for r in rows if r["label"] == k] for k in (0, 1)}
     first = {k: kinds[k][: len(kinds[k]) // 2] or kinds[k] for k in (0, 1)}
@@ -102,7 +104,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Qua
     sizes = _Sizes(good, bad)
     x = np.array([sizes.difference(t) for k in (0, 1) for t in rest[k]])
     y = np.array([float(k) for k in (0, 1) for _ in rest[k]])
-    slope, offset = _curve(x, y) if len(set(y)) == 2 else (0.0, 0.0)
+    sizes_of = class_sizes(label)
+    weight = np.array([sizes_of[k] / len(rest[k]) for k in (0, 1) for _ in rest[k]])
+    slope, offset = _curve(x, y, weight / weight.mean()) if len(set(y)) == 2 else (0.0, 0.0)
     return QualityModel(good, bad, slope, offset)
 
 
