@@ -4,13 +4,7 @@ The model file gives the vocabulary, the compiled character map and the
 normaliser's settings. Normalisation takes the longest entry of the character
 map that is a prefix of the rest of the text (one character where none is) and
 records for every byte it writes the source byte it came from; a piece is then
-projected through that record to the bytes of the original text. The library
-chooses the pieces.
-
-If the character map is empty and no piece holds a space after another
-character, pieces never cross the gap before a space. Words are then encoded one
-by one and remembered, and a word's ids and offsets are added up per text; other
-models encode the whole text at once.
+projected through that record to the bytes of the original text. The library chooses the pieces.
 """
 
 from __future__ import annotations
@@ -18,7 +12,6 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +22,8 @@ from adjudica.llm.common import texts
 
 SPACE = "▁"  # written for a space in normalised text
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-REMEMBERED = 1 << 17  # words a task remembers before it starts anew
 ROWS = 256  # texts of one result batch
 ENCODED = "doc_id long, ids array<int>, start int, ends array<int>, decoded string"
-_CHUNK = re.compile(" +[^ ]*")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
 
@@ -117,14 +108,12 @@ class Model:
         self.map = CharacterMap(settings[2])
         self.dummy_prefix, self.remove_extra, self.escape = bool(settings[3]), bool(settings[4]), bool(settings[5])
         self.symbols = sorted((p.encode() for p, t in zip(self.pieces, self.types) if t == USER_DEFINED), key=len, reverse=True)
-        inside = any(SPACE in p.lstrip(SPACE) for p, t in zip(self.pieces, self.types) if t in (NORMAL, USER_DEFINED))
-        self.by_word = not (self.map.units or self.remove_extra or self.suffix or inside or self.symbols) and self.dummy_prefix and self.escape
         self.bytes_of = [
             bytes([int(_BYTE_PIECE.match(p)[1], 16)]) if t == BYTE else b"" if t == CONTROL else p.replace(SPACE, " ").encode()
             for p, t in zip(self.pieces, self.types)
         ]
-        self.lone_space = self.processor.piece_to_id(SPACE)
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
+        self.sizes = np.array([1 if t == BYTE else len(p.encode()) for p, t in zip(self.pieces, self.types)])
+        self.unknown = self.processor.unk_id()
 
     def _prefix(self, data: bytes, at: int) -> tuple[bytes, int]:
         for symbol in self.symbols:
@@ -182,62 +171,43 @@ class Model:
         source.append(at)
         return bytes(out), source
 
-    def _whole(self, text: str) -> tuple[list[int], int, list[int]]:
-        """Ids, first source byte, and the source byte where each piece ends."""
-        ids = self.processor.encode(text)
-        if not ids:
-            return [], 0, []
-        normal, source = self.normalise(text)
-        sizes = [1 if self.types[i] == BYTE else len(self.pieces[i].encode()) for i in ids]
-        if any(self.types[i] == UNKNOWN for i in ids):
-            sizes = [1 if self.types[i] == BYTE else len(p.encode()) for i, p in zip(ids, self.processor.encode(text, out_type=str))]
-        ends = np.cumsum(sizes)
-        if ends[-1] != len(normal):
-            raise ValueError("the pieces do not add up to the normalised text")
-        return ids, source[0], [source[e] for e in ends]
-
-    def _word(self, word: str) -> tuple[list[int], list[int]]:
-        """Ids of a word (its leading space taken off), and their ends after that space."""
-        if not word:
-            return [self.lone_space], [0]
-        ids, _, ends = self._whole(word)
-        return ids, ends
-
-    def encode(self, text: str | None) -> tuple[list[int], int, list[int]]:
+    def alignment(self, text: str) -> np.ndarray:
+        """The source byte of every normalised byte, and of their end."""
+        if self.map.units or self.remove_extra or self.suffix or self.symbols:
+            return np.array(self.normalise(text)[1])
+        # Without a character map every entry is one character: only spaces change their size.
+        data = np.frombuffer(text.encode(), np.uint8)
+        width = len(SPACE.encode()) if self.escape else 1
+        source = np.repeat(np.arange(len(data)), np.where(data == ord(" "), width, 1))
+        return np.concatenate([np.zeros(width * self.dummy_prefix, np.int64), source, [len(data)]])
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, int, np.ndarray]:
         """Ids; the first source byte; the source byte where each piece ends, which is
         where the next one begins. Null and empty texts have no ids."""
-        if not text:
-            return [], 0, []
-        if not self.by_word or SPACE in text:
-            return self._whole(text)
-        words = [c[1:] for c in _CHUNK.findall(" " + text)] if "  " in text or text[0] == " " or text[-1] == " " else text.split(" ")
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for word in words:
-            if word not in known:
-                known[word] = self._word(word)
-        found = [known[w] for w in words]
-        ids = list(chain.from_iterable(f[0] for f in found))
-        # A word's offsets start after its space; the spaces and words before it add up.
-        counts = np.fromiter((len(f[1]) for f in found), np.int64, len(found))
-        sizes = np.fromiter((f[1][-1] for f in found), np.int64, len(found))
-        before = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-        ends = np.fromiter(chain.from_iterable(f[1] for f in found), np.int64, len(ids)) + np.repeat(before, counts)
-        return ids, 0, ends
+        found = self.processor.encode(text) if text else []
+        if not found:
+            return np.empty(0, np.int32), 0, np.empty(0, np.int32)
+        ids = np.array(found, np.int32)
+        sizes = self.sizes[ids]
+        if self.unknown in found:
+            names = self.processor.encode(text, out_type=str)
+            sizes = np.array([1 if self.types[i] == BYTE else len(p.encode()) for i, p in zip(found, names)])
+        ends, source = np.cumsum(sizes), self.alignment(text)
+        if ends[-1] != len(source) - 1:
+            raise ValueError("the pieces do not add up to the normalised text")
+        return ids, int(source[0]), source[ends].astype(np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The text of some ids: pieces joined, byte pieces read as UTF-8 (U+FFFD
         where they are not), the space of the dummy prefix left out."""
-        types = self.types
-        data = b"".join(map(self.bytes_of.__getitem__, ids))
-        if any(types[i] == UNKNOWN for i in ids) or self.remove_extra or self.suffix:
+        if self.unknown in ids or self.remove_extra or self.suffix:
             return self.processor.decode(ids)
+        data = b"".join(map(self.bytes_of.__getitem__, ids))
         try:
             text = data.decode()
         except UnicodeDecodeError:
             return self.processor.decode(ids)
-        return text[1:] if self.dummy_prefix and ids and types[ids[0]] != BYTE and text.startswith(" ") else text
+        return text[1:] if self.dummy_prefix and ids and self.types[ids[0]] != BYTE and text.startswith(" ") else text
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
@@ -259,11 +229,11 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                 lists = [
                     pa.ListArray.from_arrays(
                         pa.array(np.cumsum([0] + [len(f[0]) for f in found]), pa.int32()),
-                        pa.array(np.fromiter(chain.from_iterable(f[k] for f in found), np.int32)),
+                        pa.array(np.concatenate([f[k] for f in found]), pa.int32()),
                     )
                     for k in (0, 2)
                 ]
-                decoded = pa.array([model.decode(f[0]) for f in found], pa.string())
+                decoded = pa.array([model.decode(f[0].tolist()) for f in found], pa.string())
                 start = pa.array([f[1] for f in found], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], lists[0], start, lists[1], decoded], names=["doc_id", "ids", "start", "ends", "decoded"]
