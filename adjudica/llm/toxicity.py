@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import few, fold, staged, texts
+from adjudica.llm.common import class_sizes, few, fold, staged, texts
 
 PER_CLASS = 2500  # labelled rows of each class to learn from: two thirds for lexicon and trees, the rest to calibrate
 SAMPLE_CHARS = 6000  # of each training row, at most
@@ -37,10 +37,7 @@ SEED_WORDS = frozenset("idiot moron stupid trash scum loser pathetic worthless d
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta vous votre usted tú ti vosotros".split())
 NAMES = ["words", "lexicon", "lexicon_max", "stems", "stems_max", "seeds", "near_you", "you", "capitals", "shouted", "marks", "repeats", "disguised"]
 _WORD = re.compile(r"\w+(?:[@$*!|.\-]\w+)*\$?")
-_PLAIN = re.compile(r"[^\W\d_]+")
 _DISGUISE = str.maketrans("@43105$7!|", "aaeiosstii")  # one letter for each mark
-_MARK = re.compile(r"[^\w\s]")
-_REPEAT = re.compile(r"([^\w\s])\1")
 
 
 @dataclass(frozen=True)
@@ -69,40 +66,65 @@ def _spelling(word: str) -> tuple[str, bool]:
     return read, any(c.isalpha() for c in low)
 
 
-def dense(text: str | None, lexicon: Lexicon) -> list[float]:
+HIT, SEED, DISGUISED, YOU, STEM, SHOUTED = 1, 2, 4, 8, 16, 32
+UPPER, LETTER, MARK = 1, 2, 4
+REMEMBERED = 1 << 17  # words a task remembers before it starts anew
+
+
+class Flags(dict):
+    """What a word is, as a sum of the flags above."""
+
+    def __init__(self, lexicon: Lexicon):
+        super().__init__()
+        self.lexicon = lexicon
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        low, odd = _spelling(word)
+        found = SHOUTED * (len(word) > 1 and word.isupper()) + YOU * (low in SECOND_PERSON) + STEM * (low[:STEM_CHARS] in self.lexicon.stems)
+        if low in self.lexicon.words or low in SEED_WORDS:
+            found += HIT + SEED * (low in SEED_WORDS) + DISGUISED * odd
+        self[word] = found
+        return found
+
+
+def _kind(c: str) -> int:
+    return UPPER * c.isupper() + LETTER * c.isalpha() + MARK * (not c.isalnum() and not c.isspace() and c != "_")
+
+
+_KINDS = np.array([_kind(chr(c)) for c in range(1 << 16)] + [0], np.uint8)  # beyond the basic plane: none
+
+
+def _near(hits: np.ndarray, others: np.ndarray) -> int:
+    """Of the places ``hits``, those with one of ``others`` at most NEAR words before."""
+    before = np.searchsorted(others, hits) - 1
+    return int(((before >= 0) & (hits - others[before] <= NEAR)).sum()) if len(others) else 0
+
+
+def dense(text: str | None, flags: Flags) -> list[float]:
     """The features of one text, in the order of NAMES; all 0 without words."""
     words = hits = stems = seeds = near = you = shouted = upper = letters = marks = repeats = disguised = 0
     chars = 0
     best = best_stems = 0.0
     for part in _parts(text or ""):
-        found = _WORD.findall(part)
-        recent_hit = recent_you = -(NEAR + 1)
-        part_hits = part_stems = 0
-        for i, word in enumerate(found):
-            low, odd = _spelling(word)
-            is_hit = low in lexicon.words or low in SEED_WORDS
-            is_you = low in SECOND_PERSON
-            if is_hit:
-                part_hits += 1
-                seeds += low in SEED_WORDS
-                disguised += odd
-                near += i - recent_you <= NEAR
-                recent_hit = i
-            if low[:STEM_CHARS] in lexicon.stems:
-                part_stems += 1
-            if is_you:
-                you += 1
-                near += i - recent_hit <= NEAR
-                recent_you = i
-            shouted += len(word) > 1 and word.isupper()
-        hits, stems, words = hits + part_hits, stems + part_stems, words + len(found)
-        best = max(best, part_hits / max(len(found), 20))
+        found = np.frombuffer(bytes(map(flags.__getitem__, _WORD.findall(part))), np.uint8)
+        hit, yours = np.flatnonzero(found & HIT), np.flatnonzero(found & YOU)
+        part_stems = int(np.count_nonzero(found & STEM))
+        words, hits, stems, you = words + len(found), hits + len(hit), stems + part_stems, you + len(yours)
+        seeds += int(np.count_nonzero(found & SEED))
+        disguised += int(np.count_nonzero(found & DISGUISED))
+        shouted += int(np.count_nonzero(found & SHOUTED))
+        near += _near(hit, yours) + _near(yours, hit)
+        best = max(best, len(hit) / max(len(found), 20))
         best_stems = max(best_stems, part_stems / max(len(found), 20))
-        chars += len(part)
-        upper += sum(map(str.isupper, part)) if not part.islower() else 0
-        letters += sum(map(len, _PLAIN.findall(part)))
-        marks += len(_MARK.findall(part))
-        repeats += len(_REPEAT.findall(part))
+        codes = np.minimum(np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4"), 1 << 16)
+        kinds = _KINDS[codes]
+        chars += len(codes)
+        upper += int(np.count_nonzero(kinds & UPPER))
+        letters += int(np.count_nonzero(kinds & LETTER))
+        marks += int(np.count_nonzero(kinds & MARK))
+        repeats += int(np.count_nonzero((kinds[1:] & MARK) & (codes[1:] == codes[:-1]) * MARK))
     n, c = max(words, 1), max(chars, 1)
     return [
         float(np.log1p(words)), hits / n, best, stems / n, best_stems, seeds / n, near / n, you / n,
@@ -115,8 +137,9 @@ def with_features(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(lexicon)  # at most twice LEXICON_SIZE entries
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = Flags(sent.value)
         for batch in batches:
-            found = [dense(t, sent.value) for t in batch["text"].to_pylist()]
+            found = [dense(t, flags) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.list_(pa.float64()))], names=["doc_id", "features"])
 
     return rows.select("doc_id", "text").mapInArrow(extract, "doc_id long, features array<double>")
@@ -171,8 +194,12 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Toxic
     trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7, cacheNodeIds=False).fit(
         table.where(part)
     )
-    raw = trees.transform(table.where(~part)).select(F.col("label").cast("double").alias("label"), vector_to_array("probability")[1].alias("raw"))
-    curve = IsotonicRegression(featuresCol="raw", labelCol="label").fit(raw)
+    # The calibration rows are weighted to the classes' shares of all labels.
+    every, here = class_sizes(label), class_sizes(rest)
+    weight = F.when(F.col("label") == 1, every[1] / here[1]).otherwise(every[0] / here[0]).alias("weight")
+    scored = trees.transform(table.where(~part))
+    raw = scored.select(F.col("label").cast("double").alias("label"), weight, vector_to_array("probability")[1].alias("raw"))
+    curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(raw)
     return ToxicityModel(lexicon, trees, [float(b) for b in curve.boundaries], [float(v) for v in curve.predictions])
 
 

@@ -92,7 +92,7 @@ def test_isotonic_curve(spark):
 
 
 def test_features():
-    lexicon = toxicity.Lexicon(frozenset({"dolt"}), frozenset({"vequ"}))
+    lexicon = toxicity.Flags(toxicity.Lexicon(frozenset({"dolt"}), frozenset({"vequ"})))
     values = dict(zip(toxicity.NAMES, toxicity.dense("You IDIOT, 1d10t! dolt vequre. Fine", lexicon)))
     assert values["lexicon"] == 3 / 6 and values["seeds"] == 2 / 6 and values["disguised"] == 1 / 6 and values["stems"] == 1 / 6
     assert values["you"] == 1 / 6 and values["near_you"] > 0 and values["shouted"] == 1 / 6
