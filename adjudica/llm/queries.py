@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import embedding_dedup, jaccard_join, language_id, neighbours, packing, pieces, quality, substring_dedup, toxicity, url_filter
+from adjudica.llm import (
+    alignment, collocations, embedding_dedup, host_rules, jaccard_join, language_id, neighbours, packing, pieces, quality,
+    substring_dedup, toxicity, url_filter,
+)
 from adjudica.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,8 +77,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, model)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
+
+
+def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.host_rules(table(spark, sf_dir, "documents")).drop("host", "host_rejected")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_packing, op2_sentencepiece, op3_url_filter, op4_jaccard_join, op5_quality, op6_substring_dedup, op7_embedding_dedup, op8_language_id, op9_nearest_neighbours, op10_toxicity)}
+    return {
+        q.__name__: q
+        for q in (
+            op1_packing, op2_sentencepiece, op3_url_filter, op4_jaccard_join, op5_quality, op6_substring_dedup, op7_embedding_dedup,
+            op8_language_id, op9_nearest_neighbours, op10_toxicity, op11_alignment, op12_host_rules, op13_collocations,
+        )
+    }
 
 
 _URL_SQL = f"""
@@ -120,5 +144,79 @@ SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id FROM sizes s JO
 """
 
 
+_HOST_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS text FROM documents
+), cut AS (
+  SELECT rid, doc_id, host, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM docs
+), windows AS (
+  SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM cut)
+), repeated AS (
+  SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, g) > 1
+), held AS (
+  SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM repeated, (VALUES (0), (1), (2)) t(k) GROUP BY rid
+), counts AS (
+  SELECT c.rid, doc_id, host, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines
+  FROM cut c LEFT JOIN held h ON c.rid = h.rid
+), failed AS (
+  SELECT *, n_words < 50 AS f1, 100 * n_repeat_words > 50 * n_words AS f2, word_chars < 3 * n_words OR word_chars > 10 * n_words AS f3,
+    100 * n_symbols > 10 * n_words AS f4, 100 * n_dup_lines > 30 * n_lines AS f5 FROM counts
+), totals AS (
+  SELECT host, rule, count(*)::HUGEINT AS n, count(*) FILTER (f)::HUGEINT AS x
+  FROM (SELECT host, unnest([1, 2, 3, 4, 5]) AS rule, unnest([f1, f2, f3, f4, f5]) AS f FROM failed WHERE host IS NOT NULL) GROUP BY host, rule
+), moments AS (
+  SELECT rule, count(*) AS hosts, sum(x * 1000000000 // n)::DOUBLE / (count(*) * 1e9) AS m1,
+    sum(x * (x - 1) * 1000000000 // (n * (n - 1)))::DOUBLE / (count(*) * 1e9) AS m2
+  FROM totals WHERE n > 1 GROUP BY rule
+), priors AS (
+  SELECT r.rule, m1, CASE WHEN hosts IS NULL THEN 1.0::DOUBLE WHEN m2 - m1 * m1 > 0 THEN m1 * ((m1 - m2) / (m2 - m1 * m1)) END AS a,
+    CASE WHEN hosts IS NULL THEN 1.0::DOUBLE WHEN m2 - m1 * m1 > 0 THEN (1 - m1) * ((m1 - m2) / (m2 - m1 * m1)) END AS b
+  FROM (SELECT DISTINCT rule FROM totals) r LEFT JOIN moments m ON r.rule = m.rule
+), verdicts AS (
+  SELECT host, max(coalesce((a + x::DOUBLE) / (a + b + n::DOUBLE), m1)) > 0.5 AS rejected FROM totals t JOIN priors p ON t.rule = p.rule GROUP BY host
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
+  NOT (f1 OR f2) AND NOT coalesce(rejected, false) AS kept
+FROM failed f LEFT JOIN verdicts v ON f.host = v.host
+"""
+
+
+_COLLOCATION_SQL = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS pid, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+), places AS (SELECT pid, lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), totals AS (SELECT lang, count(*)::HUGEINT AS n FROM places GROUP BY lang
+), grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM places, (VALUES (1), (2), (3), (4), (5)) s(size) WHERE i + size - 1 <= len(w)
+), counted AS (
+  SELECT lang, size, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE size > 1
+), inside AS (
+  SELECT DISTINCT lang, array_to_string(w[s:s + size - 2], ' ') AS phrase, a FROM candidates, (VALUES (1), (2)) t(s) WHERE size > 2
+), cuts AS (
+  SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, n, (1000 * a * n) // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:c.size], ' ')
+  JOIN totals t ON t.lang = c.lang
+), weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM weakest w WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = w.lang AND i.phrase = w.phrase AND i.a >= w.a)
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op3_url_filter": _URL_SQL, "op4_jaccard_join": _JACCARD_SQL}
+    return {
+        "op3_url_filter": _URL_SQL, "op4_jaccard_join": _JACCARD_SQL, "op12_host_rules": _HOST_SQL, "op13_collocations": _COLLOCATION_SQL,
+    }
