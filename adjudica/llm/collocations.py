@@ -11,16 +11,21 @@ in the text. The interval in the text shows what stands left of a phrase, the ot
 one what stands right of it. Counts are summed across shards.
 
 Only phrases that are frequent in the whole corpus matter, and a phrase is no more
-frequent than its words and word pairs. Words are counted first and pairs next, and
-those that reach the least count are marked in a bitmap of fixed size that tasks
-get. A word or pair that shares its bit with a frequent one is carried along and
-falls at the exact count. So the tasks get the same amount of data for any corpus.
+frequent than the phrases in it. Words are counted first, then phrases of two words,
+of three and so on; those that reach the least count are marked in a bitmap of fixed
+size that tasks get, and a longer phrase is counted only if all in it are marked. These
+counts are taken by a number of 40 bits for each phrase: phrases that share one, or a
+bit of the bitmap, are carried along and fall at the last count, which is by the words
+themselves. So the tasks get the same amount of data for any corpus.
+
+A shard sends what it counted as one packed row for each bucket of phrases; there are
+as many buckets as keep one to about BUCKET_WORDS phrases, whatever the corpus.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +44,18 @@ UNKNOWN = "und"
 SHARD_WORDS = 1 << 21
 BITS = 1 << 26  # of a bitmap, 8 MB
 SEED = 42  # of Spark's xxhash64
-_BUCKET = 1 << 15  # bits of one row of Spark's bitmap aggregate
+BUCKET_WORDS = 1 << 20
+LEAST_BUCKETS = 32
+MARK_BITS = 40  # of a phrase's number
+_ROW_BITS = 1 << 15  # bits of one row of Spark's bitmap aggregate
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: A-Z in lower case, piece ends as full stops, tabs as spaces.
 _CLEAN = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\n\x0b\x0c\r\t", bytes(range(97, 123)) + b"." * 10 + b" ")
 SHARDS = "lang string, words array<binary>, counts array<long>, text binary"
 INDEXES = "lang string, words array<binary>, forward binary, backward binary"
-PHRASES = "lang string, words int, phrase binary, n long"
-EXTENDED = PHRASES + ", left binary, right binary"
+COUNTED = "bucket long, data binary"
+PHRASES = "bucket long, lang string, words array<int>, phrases array<binary>, n array<long>, left array<binary>, right array<binary>"
+SUMMED = "lang string, words int, phrase binary, f long, held boolean"
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -113,22 +123,38 @@ def _shards(docs: DataFrame, shard_words: int) -> DataFrame:
     return docs.select(lang, F.col("text").cast("string").alias("text")).where("text <> ''").mapInArrow(run, SHARDS)
 
 
-def _bitmap(keys: DataFrame, bits: int) -> np.ndarray:
-    """The bits of the (lang, phrase) rows; Spark makes it from pieces of 4 KB."""
-    bit = F.pmod(F.xxhash64(F.col("lang").cast("binary"), "phrase"), F.lit(bits)) + 1
-    rows = keys.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
+def _number(lang: str, word: str) -> Column:
+    """Spark's number of a word, the same as ``_numbers`` gives."""
+    return F.xxhash64(F.col(lang).cast("binary"), word).bitwiseAND(F.lit((1 << MARK_BITS) - 1))
+
+
+def _numbers(lang: str, words: list[bytes]) -> np.ndarray:
+    """64-bit numbers of a language's words."""
+    seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+
+
+def _marks(numbers: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Numbers of MARK_BITS of phrases, from those of their words; ``names`` counts words from 1."""
+    found = numbers[names[:, 0] - 1]
+    for k in range(1, names.shape[1]):
+        found = (found ^ found >> np.uint64(29)) * _MULTIPLIER + numbers[names[:, k] - 1]
+    return (found & np.uint64((1 << MARK_BITS) - 1)).view(np.int64)
+
+
+def _bitmap(marks: DataFrame, bits: int) -> np.ndarray:
+    """The bits of the marks; Spark makes it from pieces of 4 KB."""
+    bit = F.pmod(F.col("mark"), F.lit(bits)) + 1
+    rows = marks.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
     found = np.zeros(bits // 8, np.uint8)
     for row in rows.toLocalIterator():
-        at = (row["bucket"] - 1) * _BUCKET // 8
-        found[at : at + _BUCKET // 8] = np.frombuffer(row["bitmap"], np.uint8)
+        at = (row["bucket"] - 1) * _ROW_BITS // 8
+        found[at : at + _ROW_BITS // 8] = np.frombuffer(row["bitmap"], np.uint8)
     return found
 
 
-def _marked(bitmap: np.ndarray, lang: str, phrases: list[bytes]) -> np.ndarray:
-    """Whether the bits of some phrases of a language are set."""
-    seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in phrases), np.uint64, len(phrases)).view(np.int64)
-    bit = np.mod(hashes, len(bitmap) * 8)
+def _marked(bitmap: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    bit = marks % (len(bitmap) * 8)
     return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -168,10 +194,9 @@ class Index:
         back = len(text) - 1 - _deep_order(text[::-1], depth)
         return cls(text[order - 1], text[(back + 1) % len(text)])
 
-    def phrases(self, most: int, allowed: np.ndarray | None, symbols: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    def phrases(self, most: int, wanted: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """(symbols of each phrase, count, word always on its left or 0, on its right or 0)
-        for lengths 2 to ``most``. ``allowed`` are the pairs a * symbols + b, sorted, that
-        phrases may hold; all if None."""
+        for lengths 2 to ``most``. ``wanted`` tells which of some phrases to keep and extend."""
         only = [np.concatenate([[0], np.cumsum(side[1:] != side[:-1])]) for side in (self.forward, self.backward)]
         words = np.arange(1, len(self.first) - 1)
         low, size = self.first[words], self.first[words + 1] - self.first[words]
@@ -181,20 +206,17 @@ class Index:
             owner = np.repeat(np.arange(len(low)), size)
             starts = np.cumsum(size) - size
             row = np.arange(len(owner)) + np.repeat(low - starts, size)
-            order = np.argsort(owner * symbols + self.backward[row], kind="stable")
+            order = np.argsort(owner * len(self.first) + self.backward[row], kind="stable")
             follows = self.backward[row[order]]
             head = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(follows) != 0)])[: len(owner)])
             count = np.diff(np.concatenate([head, [len(owner)]]))
             phrase, symbol = owner[head], follows[head]
             good = symbol > 0
-            if allowed is not None and len(allowed):
-                key = names[phrase, -1] * symbols + symbol
-                good &= allowed[np.minimum(np.searchsorted(allowed, key), len(allowed) - 1)] == key
-            elif allowed is not None:
-                good &= False
             head, count, phrase, symbol = head[good], count[good], phrase[good], symbol[good]
+            longer = np.column_stack([names[phrase], symbol])
+            good = wanted(longer)
+            head, count, phrase, names = head[good], count[good], phrase[good], longer[good]
             low, low_text, size = self.step[row[order[head]]], low_text[phrase] + head - starts[phrase], count
-            names = np.column_stack([names[phrase], symbol])
             sides = []
             for side, runs, at in ((self.forward, only[0], low_text), (self.backward, only[1], low)):
                 sides.append(np.where(runs[at] == runs[at + size - 1], side[at], 0) if len(at) else at)
@@ -215,7 +237,8 @@ def _indexes(shards: DataFrame, bitmap: np.ndarray, depth: int) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 lang, words = batch["lang"][row].as_py(), batch["words"][row].as_py()
-                frequent = _marked(sent.value, lang, words)
+                numbers = _numbers(lang, words) & np.uint64((1 << MARK_BITS) - 1)
+                frequent = _marked(sent.value, numbers.view(np.int64))
                 number = np.concatenate([[0], np.where(frequent, np.cumsum(frequent), 0)])
                 text = number[_unpacked(batch["text"][row].as_py())]
                 # Ends in a row say no more than one, a word between two ends is no phrase.
@@ -234,58 +257,139 @@ def _indexes(shards: DataFrame, bitmap: np.ndarray, depth: int) -> DataFrame:
     return shards.select("lang", "words", "text").mapInArrow(run, INDEXES)
 
 
-def _enumerated(indexes: DataFrame, most: int, bitmap: np.ndarray | None) -> DataFrame:
-    """Phrases of 2 to ``most`` words of every shard, with their counts there.
+def _each(indexes: DataFrame, bitmaps: list[np.ndarray], rows_of: Callable, schema: str) -> DataFrame:
+    """``rows_of`` (lang, words, numbers of the words, index, wanted) for every index.
 
-    Without a bitmap PHRASES; with one, which marks the pairs that phrases may hold,
-    EXTENDED: also the word that always stands left or right of a phrase there.
+    ``bitmaps`` mark phrases of 2, 3, ... words. ``wanted`` takes phrases that are
+    marked, and those of one word more than any bitmap has if their last words are.
     """
-    sent = None if bitmap is None else indexes.sparkSession.sparkContext.broadcast(bitmap)
+    sent = indexes.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 lang, words = batch["lang"][row].as_py(), batch["words"].slice(row, 1).flatten()
+                numbers, marked = _numbers(lang, words.to_pylist()), sent.value
+
+                def wanted(names: np.ndarray) -> np.ndarray:
+                    size = names.shape[1]
+                    if size - 2 < len(marked):
+                        return _marked(marked[size - 2], _marks(numbers, names))
+                    return _marked(marked[size - 3], _marks(numbers, names[:, 1:])) if marked else np.ones(len(names), bool)
+
                 index = Index(_unpacked(batch["forward"][row].as_py()), _unpacked(batch["backward"][row].as_py()))
-                symbols, allowed = len(words) + 1, None
-                if sent is not None:
-                    pairs = next(index.phrases(2, None, symbols))[0]
-                    pairs = pairs[_marked(sent.value, lang, _joined(words, pairs).to_pylist())]
-                    allowed = np.sort(pairs[:, 0] * symbols + pairs[:, 1])
-                for names, count, left, right in index.phrases(most, allowed, symbols):
-                    columns = [pa.array([lang] * len(count), pa.string()), pa.array(np.full(len(count), names.shape[1], np.int32)), _joined(words, names), pa.array(count, pa.int64())]
-                    if sent is not None:
-                        columns += [words.take(pa.array(np.maximum(side, 1) - 1, mask=side == 0)) for side in (left, right)]
-                    yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in EXTENDED.split(", ")][: len(columns)])
+                yield from rows_of(lang, words, numbers, index, wanted)
+
+    return indexes.mapInArrow(run, schema)
+
+
+def _planes(numbers: np.ndarray, width: int) -> bytes:
+    """The low bytes of some numbers, place by place."""
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _from_planes(data: np.ndarray) -> np.ndarray:
+    found = np.zeros((data.shape[1], 8), np.uint8)
+    found[:, : len(data)] = data.T
+    return found.view("<u8").ravel().astype(np.int64)
+
+
+def _packed_counts(marks: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted marks as their differences, and counts below 2^32, in 9 bytes each before compression."""
+    return zstandard.ZstdCompressor(level=1).compress(_planes(np.diff(marks, prepend=0), MARK_BITS // 8) + _planes(counts, 4))
+
+
+def _unpacked_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(MARK_BITS // 8 + 4, -1)
+    return np.cumsum(_from_planes(planes[:-4])), _from_planes(planes[-4:])
+
+
+def _bucketed(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, Iterator[tuple[int, int, int]]]:
+    """An order by bucket and key, and (bucket, first, last + 1) of each that has keys."""
+    bucket = keys % buckets
+    order = np.lexsort((keys, bucket))
+    heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    ends = np.concatenate([heads[1:], [len(keys)]])
+    return order, zip(bucket[order[heads]].tolist(), heads.tolist(), ends.tolist())
+
+
+def _frequent_marks(indexes: DataFrame, bitmaps: list[np.ndarray], least: int, buckets: int) -> DataFrame:
+    """(mark) of the phrases of one word more than the bitmaps have that may be frequent."""
+    size = len(bitmaps) + 2
+
+    def counted(lang: str, words: pa.Array, numbers: np.ndarray, index: Index, wanted: Callable) -> Iterator[pa.RecordBatch]:
+        *_, (names, count, _, _) = index.phrases(size, wanted)
+        marks = _marks(numbers, names)
+        order, parts = _bucketed(marks, buckets)
+        marks, count = marks[order], count[order]
+        rows = [(bucket, _packed_counts(marks[a:b], count[a:b])) for bucket, a, b in parts]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "data"])
+
+    def summed(table: pa.Table) -> pa.Table:
+        found = [_unpacked_counts(d) for d in table["data"].to_pylist()]
+        marks, count = (np.concatenate(side) for side in zip(*found))
+        order = np.argsort(marks, kind="stable")
+        heads = np.flatnonzero(np.diff(marks[order], prepend=-1))
+        return pa.table({"mark": pa.array(marks[order[heads]][np.add.reduceat(count[order], heads) >= least], pa.int64())})
+
+    return _each(indexes, bitmaps, counted, COUNTED).groupBy("bucket").applyInArrow(summed, "mark long")
+
+
+def _summed_phrases(indexes: DataFrame, bitmaps: list[np.ndarray], least: int, most: int, buckets: int) -> DataFrame:
+    """SUMMED of all phrases of 2 to ``most`` words that occur ``least`` times or more."""
+
+    def found(lang: str, words: pa.Array, numbers: np.ndarray, index: Index, wanted: Callable) -> Iterator[pa.RecordBatch]:
+        for names, count, left, right in index.phrases(most, wanted):
+            order, parts = _bucketed(_marks(numbers, names), buckets)
+            names, count, left, right = names[order], count[order], left[order], right[order]
+            phrases, parts = _joined(words, names), list(parts)
+            sides = [words.take(pa.array(np.maximum(side, 1) - 1, mask=side == 0)) for side in (left, right)]
+            size = pa.array(np.full(len(count), names.shape[1], np.int32))
+            offsets = pa.array([a for _, a, _ in parts] + [len(count)], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, values) for values in (size, phrases, pa.array(count, pa.int64()), *sides)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[0] for p in parts], pa.int64()), pa.array([lang] * len(parts), pa.string()), *lists],
+                names=["bucket", "lang", "words", "phrases", "n", "left", "right"],
+            )
+
+    def summed(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        lang = table["lang"].combine_chunks().take(pc.list_parent_indices(table["n"]).combine_chunks())
+        flat = pa.table({"lang": lang} | {name: pc.list_flatten(table[name]) for name in ("words", "phrases", "n", "left", "right")})
+        both = [(side, kind) for side in ("left", "right") for kind in ("min", "max", "count")]
+        sums = flat.group_by(["lang", "words", "phrases"]).aggregate([("n", "sum"), ("n", "count"), *both])
+        # All shards that have the phrase name a word on that side, and the same.
+        always = [
+            pc.and_(pc.equal(sums[f"{side}_count"], sums["n_count"]), pc.fill_null(pc.equal(sums[f"{side}_min"], sums[f"{side}_max"]), False))
+            for side in ("left", "right")
+        ]
+        held = pc.and_(pc.or_(*always), pc.less(sums["words"], most))
+        out = pa.table({"lang": sums["lang"], "words": sums["words"], "phrase": sums["phrases"], "f": sums["n_sum"], "held": held})
+        return out.filter(pc.greater_equal(out["f"], least))
 
-    return indexes.mapInArrow(run, PHRASES if bitmap is None else EXTENDED)
+    return _each(indexes, bitmaps, found, PHRASES).groupBy("bucket").applyInArrow(summed, SUMMED)
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT, most: int = MOST_WORDS, shard_words: int = SHARD_WORDS, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, f, held) of all phrases of 2 to ``most`` words and of all words that
-    occur ``least`` times or more, and (lang, n): the words of each language.
+    """SUMMED of all words and phrases of 2 to ``most`` words that occur ``least`` times
+    or more, and (lang, n): the words of each language.
 
     ``held``: one word stands left (or right) of all occurrences, and with it the phrase
-    is one of at most ``most`` words. Words have ``words`` 1.
+    is one of at most ``most`` words.
     """
     shards = staged(_shards(docs, shard_words), "shards")
     found = shards.select("lang", F.inline(F.arrays_zip("words", "counts"))).toDF("lang", "phrase", "n")
     words = staged(found.groupBy("lang", "phrase").agg(F.sum("n").alias("f")), "words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     often = words.where(F.col("f") >= least)
-    indexes = staged(_indexes(shards, _bitmap(often, bits), most + 1), "indexes")
-    pairs = _enumerated(indexes, 2, None).groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    marks = _bitmap(staged(pairs, "pairs"), bits)
-
-    def always(side: str) -> Column:
-        """All shards name a word, and the same."""
-        return F.coalesce((F.count(side) == F.count("*")) & (F.min(side) == F.max(side)), F.lit(False))
-
-    grown = _enumerated(indexes, most, marks).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"), (always("left") | always("right")).alias("held"))
-    grown = grown.where(F.col("f") >= least).withColumn("held", F.col("held") & (F.col("words") < most))
-    columns = ["lang", "words", "phrase", "f", "held"]
-    alone = often.withColumn("words", F.lit(1)).withColumn("held", F.lit(False))
-    return staged(grown.select(columns).union(alone.select(columns)), "phrases"), totals
+    indexes = staged(_indexes(shards, _bitmap(often.select(_number("lang", "phrase").alias("mark")), bits), most + 1), "indexes")
+    buckets = max(LEAST_BUCKETS, (words.agg(F.sum("f")).first()[0] or 0) // BUCKET_WORDS)
+    bitmaps: list[np.ndarray] = []
+    for _ in range(2, most):
+        bitmaps.append(_bitmap(_frequent_marks(indexes, bitmaps, least, buckets), bits))
+    grown = _summed_phrases(indexes, bitmaps, least, most, buckets)
+    alone = often.select("lang", F.lit(1).alias("words"), "phrase", "f", F.lit(False).alias("held"))
+    return staged(grown.union(alone), "phrases"), totals
 
 
 def collocations(

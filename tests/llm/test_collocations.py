@@ -61,7 +61,7 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("least, most, kept, shard_words, bits", [(5, 5, 2000, 1 << 21, c.BITS), (3, 5, 40, 300, 1 << 15), (2, 3, 10, 900, 1 << 18), (4, 2, 50, 50, 1 << 16)])
+@pytest.mark.parametrize("least, most, kept, shard_words, bits", [(5, 5, 2000, 1 << 21, c.BITS), (3, 5, 40, 300, 1 << 15), (3, 5, 40, 300, 1 << 22), (2, 3, 10, 900, 1 << 18), (4, 2, 50, 50, 1 << 16)])
 def test_against_every_phrase(spark, least, most, kept, shard_words, bits):
     rows = corpus()
     frame = spark.createDataFrame([(*r, "a", 1) for r in rows], SCHEMA + ", phrase string, n int").repartition(4)
@@ -82,7 +82,7 @@ def test_index_against_all_places():
     text = np.array([0] + [random.randint(0, 4) for _ in range(500)] + [0])
     text = text[np.concatenate([[True], (text[1:] != 0) | (text[:-1] != 0)])]
     index = c.Index.of(text, 6)
-    for names, count, left, right in index.phrases(5, None, 5):
+    for names, count, left, right in index.phrases(5, lambda names: np.ones(len(names), bool)):
         size = names.shape[1]
         places = defaultdict(list)
         for i in range(len(text) - size + 1):
@@ -97,10 +97,21 @@ def test_index_against_all_places():
 
 def test_marks_follow_spark(spark):
     keys = [("en", b"the"), ("und", "é日".encode()), ("", b"x"), ("en", b"")]
-    frame = spark.createDataFrame(keys, "lang string, phrase binary")
+    frame = spark.createDataFrame(keys, "lang string, phrase binary").select(c._number("lang", "phrase").alias("mark"))
     bits = c._bitmap(frame, 1 << 17)
-    assert all(c._marked(bits, lang, [p]).all() for lang, p in keys) and np.unpackbits(bits).sum() == 4
-    assert not c._marked(bits, "en", [b"a", b"b"]).any()
+    marks = lambda lang, words: (c._numbers(lang, words) & np.uint64((1 << c.MARK_BITS) - 1)).view(np.int64)
+    assert [r["mark"] for r in frame.collect()] == [int(marks(lang, [p])[0]) for lang, p in keys]
+    assert all(c._marked(bits, marks(lang, [p])).all() for lang, p in keys) and np.unpackbits(bits).sum() == 4
+    assert not c._marked(bits, marks("en", [b"a", b"b"])).any()
+
+
+def test_packed_counts():
+    rng = np.random.default_rng(0)
+    for size in (0, 1, 5000):
+        marks = np.unique(rng.integers(0, 1 << c.MARK_BITS, size))
+        count = rng.integers(1, 1 << 31, len(marks))
+        got = c._unpacked_counts(c._packed_counts(marks, count))
+        assert (got[0] == marks).all() and (got[1] == count).all()
 
 
 def test_nothing_frequent_and_empty(spark):
