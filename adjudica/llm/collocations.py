@@ -47,14 +47,14 @@ SEED = 42  # of Spark's xxhash64
 BUCKET_WORDS = 1 << 20
 LEAST_BUCKETS = 32
 MARK_BITS = 40  # of a phrase's number
+RAW_BYTES = 3  # of a difference of two numbers that are not compressed
 _ROW_BITS = 1 << 15  # bits of one row of Spark's bitmap aggregate
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: A-Z in lower case, piece ends as full stops, tabs as spaces.
 _CLEAN = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\n\x0b\x0c\r\t", bytes(range(97, 123)) + b"." * 10 + b" ")
 SHARDS = "lang string, words array<binary>, counts array<long>, text binary"
 INDEXES = "lang string, words array<binary>, forward binary, backward binary"
-COUNTED = "bucket long, data binary"
-PHRASES = "bucket long, lang string, words array<int>, phrases array<binary>, n array<long>, left array<binary>, right array<binary>"
+COUNTED = "bucket long, lang string, data binary"
 SUMMED = "lang string, words int, phrase binary, f long, held boolean"
 
 
@@ -288,20 +288,23 @@ def _planes(numbers: np.ndarray, width: int) -> bytes:
     return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def _from_planes(data: np.ndarray) -> np.ndarray:
-    found = np.zeros((data.shape[1], 8), np.uint8)
-    found[:, : len(data)] = data.T
-    return found.view("<u8").ravel().astype(np.int64)
-
-
 def _packed_counts(marks: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted marks as their differences, and counts below 2^32, in 9 bytes each before compression."""
-    return zstandard.ZstdCompressor(level=1).compress(_planes(np.diff(marks, prepend=0), MARK_BITS // 8) + _planes(counts, 4))
+    """Sorted marks as their differences, and counts below 2^32, byte by byte. The low
+    bytes of the differences hardly repeat and are kept as they are; the rest is compressed."""
+    data, raw = _planes(np.diff(marks, prepend=0), MARK_BITS // 8) + _planes(counts, 4), RAW_BYTES * len(marks)
+    return len(marks).to_bytes(8, "little") + data[:raw] + zstandard.ZstdCompressor(level=1).compress(data[raw:])
 
 
 def _unpacked_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(MARK_BITS // 8 + 4, -1)
-    return np.cumsum(_from_planes(planes[:-4])), _from_planes(planes[-4:])
+    size = int.from_bytes(data[:8], "little")
+    raw = 8 + RAW_BYTES * size
+    planes = np.frombuffer(data[8:raw] + zstandard.ZstdDecompressor().decompress(data[raw:]), np.uint8).reshape(MARK_BITS // 8 + 4, size)
+    found = []
+    for part in (planes[:-4], planes[-4:]):
+        wide = np.zeros((size, 8), np.uint8)
+        wide[:, : len(part)] = part.T
+        found.append(wide.view("<u8").ravel().astype(np.int64))
+    return np.cumsum(found[0]), found[1]
 
 
 def _bucketed(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, Iterator[tuple[int, int, int]]]:
@@ -313,6 +316,11 @@ def _bucketed(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, Iterator[tupl
     return order, zip(bucket[order[heads]].tolist(), heads.tolist(), ends.tolist())
 
 
+def _rows(lang: str, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([lang] * len(rows), pa.string()), pa.array([r[1] for r in rows], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "lang", "data"])
+
+
 def _frequent_marks(indexes: DataFrame, bitmaps: list[np.ndarray], least: int, buckets: int) -> DataFrame:
     """(mark) of the phrases of one word more than the bitmaps have that may be frequent."""
     size = len(bitmaps) + 2
@@ -323,7 +331,7 @@ def _frequent_marks(indexes: DataFrame, bitmaps: list[np.ndarray], least: int, b
         order, parts = _bucketed(marks, buckets)
         marks, count = marks[order], count[order]
         rows = [(bucket, _packed_counts(marks[a:b], count[a:b])) for bucket, a, b in parts]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "data"])
+        yield _rows(lang, rows)
 
     def summed(table: pa.Table) -> pa.Table:
         found = [_unpacked_counts(d) for d in table["data"].to_pylist()]
@@ -339,35 +347,41 @@ def _summed_phrases(indexes: DataFrame, bitmaps: list[np.ndarray], least: int, m
     """SUMMED of all phrases of 2 to ``most`` words that occur ``least`` times or more."""
 
     def found(lang: str, words: pa.Array, numbers: np.ndarray, index: Index, wanted: Callable) -> Iterator[pa.RecordBatch]:
-        for names, count, left, right in index.phrases(most, wanted):
+        lines = defaultdict(list)  # of a bucket: phrase, count, word on the left, on the right
+        for names, count, *sides in index.phrases(most, wanted):
             order, parts = _bucketed(_marks(numbers, names), buckets)
-            names, count, left, right = names[order], count[order], left[order], right[order]
-            phrases, parts = _joined(words, names), list(parts)
-            sides = [words.take(pa.array(np.maximum(side, 1) - 1, mask=side == 0)) for side in (left, right)]
-            size = pa.array(np.full(len(count), names.shape[1], np.int32))
-            offsets = pa.array([a for _, a, _ in parts] + [len(count)], pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, values) for values in (size, phrases, pa.array(count, pa.int64()), *sides)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in parts], pa.int64()), pa.array([lang] * len(parts), pa.string()), *lists],
-                names=["bucket", "lang", "words", "phrases", "n", "left", "right"],
-            )
+            beside = [pc.fill_null(words.take(pa.array(np.maximum(side, 1) - 1, mask=side == 0)), b"") for side in sides]
+            columns = [_joined(words, names), pa.array(count).cast(pa.string()).cast(pa.binary()), *beside]
+            line = pc.binary_join_element_wise(*columns, pa.scalar(b"\t", pa.binary())).take(pa.array(order)).to_pylist()
+            for bucket, a, b in parts:
+                lines[bucket] += line[a:b]
+        packer = zstandard.ZstdCompressor(level=3)
+        yield _rows(lang, [(bucket, packer.compress(b"\n".join(sorted(part)))) for bucket, part in lines.items()])
 
     def summed(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        lang = table["lang"].combine_chunks().take(pc.list_parent_indices(table["n"]).combine_chunks())
-        flat = pa.table({"lang": lang} | {name: pc.list_flatten(table[name]) for name in ("words", "phrases", "n", "left", "right")})
-        both = [(side, kind) for side in ("left", "right") for kind in ("min", "max", "count")]
-        sums = flat.group_by(["lang", "words", "phrases"]).aggregate([("n", "sum"), ("n", "count"), *both])
-        # All shards that have the phrase name a word on that side, and the same.
-        always = [
-            pc.and_(pc.equal(sums[f"{side}_count"], sums["n_count"]), pc.fill_null(pc.equal(sums[f"{side}_min"], sums[f"{side}_max"]), False))
-            for side in ("left", "right")
-        ]
-        held = pc.and_(pc.or_(*always), pc.less(sums["words"], most))
-        out = pa.table({"lang": sums["lang"], "words": sums["words"], "phrase": sums["phrases"], "f": sums["n_sum"], "held": held})
-        return out.filter(pc.greater_equal(out["f"], least))
-
-    return _each(indexes, bitmaps, found, PHRASES).groupBy("bucket").applyInArrow(summed, SUMMED)
+        unpacker = zstandard.ZstdDecompressor()
+        sums: dict[tuple[str, bytes], list] = {}
+        for lang, data in zip(table["lang"].to_pylist(), table["data"].to_pylist()):
+            for line in unpacker.decompress(data).split(b"\n"):
+                phrase, count, left, right = line.split(b"\t")
+                known = sums.get((lang, phrase))
+                if known is None:
+                    sums[lang, phrase] = [int(count), left, right]
+                else:
+                    known[0] += int(count)
+                    # The word beside it, if all shards name one, and the same.
+                    if known[1] != left:
+                        known[1] = b""
+                    if known[2] != right:
+                        known[2] = b""
+        rows = [(lang, phrase.count(b" ") + 1, phrase, *known) for (lang, phrase), known in sums.items() if known[0] >= least]
+        columns = list(zip(*rows)) if rows else [[]] * 6
+        held = [bool(left or right) and size < most for size, left, right in zip(columns[1], columns[4], columns[5])]
+        names = ["lang", "words", "phrase", "f", "held"]
+        kinds = [pa.string(), pa.int32(), pa.binary(), pa.int64(), pa.bool_()]
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, [*columns[:4], held], kinds)})
+
+    return _each(indexes, bitmaps, found, COUNTED).groupBy("bucket").applyInArrow(summed, SUMMED)
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT, most: int = MOST_WORDS, shard_words: int = SHARD_WORDS, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
@@ -387,7 +401,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT, most: int = MOST_WO
     bitmaps: list[np.ndarray] = []
     for _ in range(2, most):
         bitmaps.append(_bitmap(_frequent_marks(indexes, bitmaps, least, buckets), bits))
-    grown = _summed_phrases(indexes, bitmaps, least, most, buckets)
+    grown = _summed_phrases(indexes, bitmaps, least, most, max(LEAST_BUCKETS, buckets // 4))
     alone = often.select("lang", F.lit(1).alias("words"), "phrase", "f", F.lit(False).alias("held"))
     return staged(grown.union(alone), "phrases"), totals
 
