@@ -15,16 +15,14 @@ from math import factorial
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adjudica.operators.features import FEATURES
+from adjudica.operators.boosting import Forest
 from adjudica.operators.model import vectorised
 
 ROWS_PER_CHUNK = 64
-LOG_ODDS_PER_MARGIN = 2.0  # probability = sigmoid(2 * margin)
 
 # Sentence formats (feature, value, size), tiers and labels of a narrative.
 RAISING_SENTENCE = "+ High Risk Driver: '%s' (value: %s) increased log-odds by +%s"
@@ -34,14 +32,14 @@ TIER_ABOVE, TIER_BELOW = "CRITICAL / HIGH", "LOW / MONITORED"
 LABEL_TRUE, LABEL_FALSE, LABEL_MISSING = "Fraud", "Non-Fraud", "Unknown"
 
 
-def _paths(nodes: pd.DataFrame, weight: float) -> list[tuple[float, dict[int, tuple[float, float, float]]]]:
+def _paths(nodes: pd.DataFrame) -> list[tuple[float, dict[int, tuple[float, float, float]]]]:
     """Leaves of one tree as (value, feature -> (low, high, covered share))."""
     by_id = {row.id: row for row in nodes.itertuples()}
     leaves, todo = [], [(by_id[0], {})]
     while todo:
         node, path = todo.pop()
         if node.left < 0:
-            leaves.append((weight * node.prediction, path))
+            leaves.append((node.value, path))
             continue
         low, high, share = path.get(node.feature, (-np.inf, np.inf, 1.0))
         for child, bounds in (
@@ -52,29 +50,13 @@ def _paths(nodes: pd.DataFrame, weight: float) -> list[tuple[float, dict[int, tu
     return leaves
 
 
-def leaf_table(spark: SparkSession, trees_path: str, tree_weights: list[float]) -> dict[str, np.ndarray]:
-    """All leaves of a saved ensemble as padded arrays (its size is the model's).
+def leaf_table(forest: Forest) -> dict[str, np.ndarray]:
+    """All leaves of a forest as padded arrays (its size is the model's).
 
     A padding entry has an unbounded interval and covers everything, which
     makes it a player without influence.
     """
-    nodes = spark.read.parquet(f"{trees_path}/data").select(
-        F.col("treeID").alias("tree"),
-        F.col("nodeData.id").alias("id"),
-        F.col("nodeData.prediction").alias("prediction"),
-        F.col("nodeData.impurityStats")[0].alias("cover"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.when(
-            F.col("nodeData.leftChild") >= 0, F.col("nodeData.split.leftCategoriesOrThreshold")[0]
-        ).alias("cut"),
-    ).toPandas()
-    leaves = [
-        leaf
-        for tree, part in nodes.groupby("tree")
-        for leaf in _paths(part, LOG_ODDS_PER_MARGIN * tree_weights[int(tree)])
-    ]
+    leaves = [leaf for _, part in forest.nodes.groupby("tree") for leaf in _paths(part)]
     width = max([len(path) for _, path in leaves] + [1])
     count = len(leaves)
     table = {
@@ -123,15 +105,14 @@ def shapley_values(x: np.ndarray, leaves: dict[str, np.ndarray], features: int)
     return out
 
 
-def attributions(model: GBTClassificationModel, trees_path: str, features: DataFrame) -> DataFrame:
-    """(provider_id, feature, value, phi) in log-odds, 33 rows per provider.
+def attributions(forest: Forest, features: DataFrame) -> DataFrame:
+    """(provider_id, feature, value, phi) in log-odds, one row per provider and feature.
 
-    ``trees_path`` is where ``model`` was saved. The leaves are broadcast, 32
-    per tree at most; rows are evaluated batch by batch on the executors.
+    The leaves are broadcast, 32 per tree at most; rows are evaluated batch by
+    batch on the executors.
     """
-    spark = features.sparkSession
-    leaves = spark.sparkContext.broadcast(leaf_table(spark, trees_path, list(model.treeWeights)))
-    names = list(FEATURES)
+    leaves = features.sparkSession.sparkContext.broadcast(leaf_table(forest))
+    names = list(forest.features)
 
     def evaluate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -6,18 +6,14 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.operators import metrics
+from adjudica.operators import boosting, metrics
+from adjudica.operators.boosting import Forest, Settings
 from adjudica.operators.features import FEATURES
 from adjudica.operators.split import LABEL, assert_disjoint, class_weight, fold_assignment, group_split
 from adjudica.session import checkpointed, side_by_side, work_dir
@@ -27,7 +23,7 @@ ROUNDS = 180
 MAX_DEPTH = 5
 LEARNING_RATE = 0.04
 ROW_SHARE = 0.85
-COLUMN_SHARE = "0.80"
+COLUMN_SHARE = 0.80
 SEED = 42
 FOLDS = 5
 BASELINE_CUT = 0.5
@@ -58,7 +54,9 @@ def _packed(vectors: DataFrame) -> DataFrame:
 
 
 def with_probability(model, vectors: DataFrame, out: str = "probability") -> DataFrame:
-    """Adds the probability of the flagged class."""
+    """Adds the probability of the flagged class, by a forest or a pipeline."""
+    if isinstance(model, Forest):
+        return boosting.with_probability(model, vectors, out)
     scored = model.transform(vectors.drop("rawPrediction", "probability", "prediction"))
     positive = vector_to_array("probability")[1]
     return scored.withColumn(out, positive).drop("rawPrediction", "prediction")
@@ -74,22 +72,19 @@ def as_scored(scores: DataFrame) -> DataFrame:
     return scores.select(F.col("probability").alias("score"), F.col(LABEL).cast("int").alias("label"))
 
 
-def fit_trees(train: DataFrame, positive_weight: float, rounds: int = ROUNDS, seed: int = SEED) -> GBTClassificationModel:
-    """Boosted trees on labelled providers, flagged ones weighted up."""
-    weighted = _labelled(train).withColumn(
+def _weighted(train: DataFrame, positive_weight: float) -> DataFrame:
+    return _labelled(train).withColumn(
         "weight", F.when(F.col("label") == 1, F.lit(positive_weight)).otherwise(F.lit(1.0))
     )
-    trees = GBTClassifier(
-        featuresCol="features", labelCol="label", weightCol="weight",
-        maxIter=rounds, maxDepth=MAX_DEPTH, stepSize=LEARNING_RATE,
-        subsamplingRate=ROW_SHARE, featureSubsetStrategy=COLUMN_SHARE, seed=seed,
-        maxMemoryInMB=1024,
-    )
-    rows = _packed(weighted.select("provider_id", "features", "label", "weight"))
-    try:
-        return trees.fit(rows)
-    finally:
-        rows.unpersist()
+
+
+def _settings(rounds: int, seed: int) -> Settings:
+    return Settings(rounds, MAX_DEPTH, LEARNING_RATE, ROW_SHARE, COLUMN_SHARE, seed)
+
+
+def fit_trees(train: DataFrame, positive_weight: float, rounds: int = ROUNDS, seed: int = SEED) -> Forest:
+    """Boosted trees on labelled providers, flagged ones weighted up."""
+    return boosting.fit_forests(_weighted(train, positive_weight), FEATURES, _settings(rounds, seed))[-1]
 
 
 def fit_logistic(train: DataFrame) -> PipelineModel:
@@ -149,29 +144,41 @@ def positive_weight(train: DataFrame) -> float:
     return float(class_weight(train).first()["scale_pos_weight"])
 
 
-def cross_validate(
+def fit_with_folds(
     train: DataFrame, weight: float, rounds: int = ROUNDS, folds: int = FOLDS, seed: int = SEED
-) -> DataFrame:
-    """One row per fold: roc_auc, recall and f1 at 0.5 on the held-out fold.
-
-    Folds are fitted side by side; their number is a small constant.
-    """
+) -> tuple[Forest, DataFrame]:
+    """The forest of all rows, and the scores of the folds, from the same jobs."""
     assigned = checkpointed(fold_assignment(train, folds, seed))
+    *parts, whole = boosting.fit_forests(_weighted(assigned, weight), FEATURES, _settings(rounds, seed), folds)
+    return whole, _fold_scores(assigned, parts)
+
+
+def _fold_scores(assigned: DataFrame, forests: list[Forest]) -> DataFrame:
+    """One row per fold: roc_auc, recall and f1 at 0.5 on the held-out fold."""
 
     def one(fold: int) -> DataFrame:
-        model = fit_trees(assigned.where(F.col("fold") != fold), weight, rounds, seed)
-        held_out = as_scored(score(model, assigned.where(F.col("fold") == fold))).where("label IS NOT NULL")
+        held_out = as_scored(score(forests[fold], assigned.where(F.col("fold") == fold))).where("label IS NOT NULL")
         cut = metrics.threshold_metrics(held_out, 0.5).select(F.struct("recall", "f1_score").alias("m")).scalar()
         areas = metrics.ranking_metrics(metrics.score_steps(held_out)).withColumn("m", cut)
         return areas.select(F.lit(fold).alias("fold"), "roc_auc", "m.recall", F.col("m.f1_score").alias("f1"))
 
-    parts = side_by_side(train.sparkSession, [lambda fold=fold: one(fold) for fold in range(folds)])
-    out = parts[0]
-    for part in parts[1:]:
+    spark = assigned.sparkSession
+    out, *others = side_by_side(spark, [lambda fold=fold: one(fold) for fold in range(len(forests))])
+    for part in others:
         out = out.unionByName(part)
     return out
 
 
+def cross_validate(
+    train: DataFrame, weight: float, rounds: int = ROUNDS, folds: int = FOLDS, seed: int = SEED
+) -> DataFrame:
+    """One row per fold: roc_auc, recall and f1 at 0.5 on the held-out fold.
+
+    The folds' forests grow in one set of jobs.
+    """
+    return fit_with_folds(train, weight, rounds, folds, seed)[1]
+
+
 def cv_summary(per_fold: DataFrame) -> DataFrame:
     return per_fold.agg(
         F.avg("roc_auc").alias("roc_auc"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1")
@@ -188,7 +195,7 @@ def tune_threshold(model, train: DataFrame) -> float:
 class TrainedModel:
     """Everything the later steps need from one training run."""
 
-    trees: GBTClassificationModel
+    trees: Forest
     logistic: PipelineModel
     threshold: float
     weight: float
@@ -209,12 +216,11 @@ def train_and_evaluate(
     assert_disjoint(split)
     train, test = (split.where(F.col("split") == side).drop("split") for side in ("train", "test"))
     weight = positive_weight(train)
-    trees, logistic, per_fold = side_by_side(
+    (trees, per_fold), logistic = side_by_side(
         features.sparkSession,
         [
-            lambda: fit_trees(train, weight, rounds, seed),
+            lambda: fit_with_folds(train, weight, rounds, folds, seed) if folds else (fit_trees(train, weight, rounds, seed), None),
             lambda: fit_logistic(train),
-            lambda: cross_validate(train, weight, rounds, folds, seed) if folds else None,
         ],
     )
     threshold = tune_threshold(trees, train)
@@ -229,7 +235,7 @@ def train_and_evaluate(
 def save_bundle(model: TrainedModel, path: str) -> str:
     """Models with scaler, feature names, threshold, split ids and metrics."""
     spark = model.split.sparkSession
-    model.trees.write().overwrite().save(f"{path}/trees")
+    model.trees.save(spark, f"{path}/trees")
     model.logistic.write().overwrite().save(f"{path}/logistic")
     model.split.select("provider_id", "split").write.mode("overwrite").parquet(f"{path}/split")
     model.evaluation.write.mode("overwrite").json(f"{path}/metrics")
@@ -242,7 +248,7 @@ def save_bundle(model: TrainedModel, path: str) -> str:
 
 @dataclass
 class Bundle:
-    trees: GBTClassificationModel
+    trees: Forest
     logistic: PipelineModel
     threshold: float
     feature_names: list[str]
@@ -252,11 +258,12 @@ class Bundle:
 
 def load_bundle(spark: SparkSession, path: str) -> Bundle:
     settings = spark.read.parquet(f"{path}/settings").first()
+    names = list(settings["feature_names"])
     return Bundle(
-        GBTClassificationModel.load(f"{path}/trees"),
+        Forest.load(spark, f"{path}/trees", names),
         PipelineModel.load(f"{path}/logistic"),
         settings["threshold"],
-        list(settings["feature_names"]),
+        names,
         spark.read.parquet(f"{path}/split"),
         spark.read.json(f"{path}/metrics"),
     )

@@ -72,7 +72,7 @@ def run(
     features = spark.read.parquet(f"{out}/features")
 
     trained = model.train_and_evaluate(features, rounds, folds)
-    bundle = model.save_bundle(trained, f"{out}/model")
+    model.save_bundle(trained, f"{out}/model")
     write_json(trained.baselines, f"{out}/reports/baselines")
     if trained.cross_validation is not None:
         write_json(trained.cross_validation, f"{out}/reports/cross_validation")
@@ -80,7 +80,7 @@ def run(
     scores = spark.read.parquet(f"{out}/scores")
 
     explained = sampling.sample_rows(features, explained_rows) if explained_rows else features
-    phi = attribution.attributions(trained.trees, f"{bundle}/trees", explained)
+    phi = attribution.attributions(trained.trees, explained)
     phi.write.mode("overwrite").parquet(f"{out}/attributions")
     phi = spark.read.parquet(f"{out}/attributions")
     write_json(attribution.global_importance(phi), f"{out}/reports/importance")

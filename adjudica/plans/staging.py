@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 
 from adjudica.operators.attribution import attributions
@@ -78,9 +77,8 @@ def staged_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def build() -> DataFrame:
-        model, path = staged_model(spark, sf_dir)
-        trees: GBTClassificationModel = model.trees
-        return attributions(trees, f"{path}/trees", staged_features(spark, sf_dir))
-
-    return _written(spark, scratch(spark, sf_dir, "attributions"), build)
+    return _written(
+        spark,
+        scratch(spark, sf_dir, "attributions"),
+        lambda: attributions(staged_model(spark, sf_dir)[0].trees, staged_features(spark, sf_dir)),
+    )

@@ -59,9 +59,9 @@ def test_bundle_round_trip(spark, trained, bundle, features):
 
 
 def test_attributions_add_up_to_the_log_odds(spark, trained, bundle, features):
-    phi = attribution.attributions(trained.trees, f"{bundle}/trees", features)
+    phi = attribution.attributions(trained.trees, features)
     assert phi.count() == 240 * 33
-    base = attribution.expected_log_odds(attribution.leaf_table(spark, f"{bundle}/trees", list(trained.trees.treeWeights)))
+    base = attribution.expected_log_odds(attribution.leaf_table(trained.trees))
     sums = phi.groupBy("provider_id").agg(F.sum("phi").alias("s"))
     scores = model.score(trained.trees, features)
     gap = sums.join(scores, "provider_id").select(
