@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.operators import boosting, metrics
+from adjudica.operators import boosting, logistic, metrics
 from adjudica.operators.boosting import Forest, Settings
 from adjudica.operators.features import FEATURES
+from adjudica.operators.logistic import Logistic
 from adjudica.operators.split import LABEL, assert_disjoint, class_weight, fold_assignment, group_split
-from adjudica.session import checkpointed, side_by_side, work_dir
+from adjudica.session import checkpointed, side_by_side
 
 # Training parameters of the boosted trees.
 ROUNDS = 180
@@ -27,7 +24,6 @@ COLUMN_SHARE = 0.80
 SEED = 42
 FOLDS = 5
 BASELINE_CUT = 0.5
-LOGISTIC_TOLERANCE = 1e-4
 ROWS_PER_PARTITION = 50_000
 
 
@@ -54,12 +50,10 @@ def _packed(vectors: DataFrame) -> DataFrame:
 
 
 def with_probability(model, vectors: DataFrame, out: str = "probability") -> DataFrame:
-    """Adds the probability of the flagged class, by a forest or a pipeline."""
+    """Adds the probability of the flagged class, by a forest or a logistic regression."""
     if isinstance(model, Forest):
         return boosting.with_probability(model, vectors, out)
-    scored = model.transform(vectors.drop("rawPrediction", "probability", "prediction"))
-    positive = vector_to_array("probability")[1]
-    return scored.withColumn(out, positive).drop("rawPrediction", "prediction")
+    return vectors.withColumn(out, model.probability())
 
 
 def score(model, features: DataFrame) -> DataFrame:
@@ -87,41 +81,20 @@ def fit_trees(train: DataFrame, positive_weight: float, rounds: int = ROUNDS, se
     return boosting.fit_forests(_weighted(train, positive_weight), FEATURES, _settings(rounds, seed))[-1]
 
 
-def fit_logistic(train: DataFrame) -> PipelineModel:
+def fit_logistic(train: DataFrame) -> Logistic:
     """Scaled logistic regression with balanced class weights n / (2 n_class)."""
     vectors = _labelled(train)
-    sizes = vectors.agg(
-        F.struct(F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("p")).alias("s")
-    ).scalar()
-    balanced = vectors.withColumn("_s", sizes).withColumn(
-        "weight",
-        F.col("_s.n")
-        / (2 * F.greatest(F.when(F.col("label") == 1, F.col("_s.p")).otherwise(F.col("_s.n") - F.col("_s.p")), F.lit(1))),
-    ).select("provider_id", "features", "label", "weight")
-    rows = _packed(balanced)
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(rows)
-    logistic = LogisticRegression(
-        featuresCol="scaled", labelCol="label", weightCol="weight", maxIter=1000,
-        standardization=False, tol=LOGISTIC_TOLERANCE,
-        # Unit L2 penalty on the summed loss, as the mean loss Spark minimises.
-        regParam=1.0 / max(rows.count(), 1),
-    )
+    sizes = vectors.agg(F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("p")).first()
+    share = F.when(F.col("label") == 1, sizes["p"]).otherwise(sizes["n"] - sizes["p"])
+    balanced = vectors.withColumn("weight", F.lit(sizes["n"]) / (2 * F.greatest(share, F.lit(1))))
+    rows = _packed(balanced.select("provider_id", "features", "label", "weight"))
     try:
-        return PipelineModel([scaler, _without_summary(logistic.fit(scaler.transform(rows)))])
+        return logistic.fit(rows, FEATURES)
     finally:
         rows.unpersist()
 
 
-def _without_summary(model: LogisticRegressionModel) -> LogisticRegressionModel:
-    """The model as it is stored: its training summary holds the session, which
-    tasks that score with the model could not be sent."""
-    spark = SparkSession.active()
-    path = f"{work_dir(spark)}/{spark.sparkContext.applicationId}/logistic-{uuid.uuid4().hex[:12]}"
-    model.write().save(path)
-    return LogisticRegressionModel.load(path)
-
-
-def baselines(train: DataFrame, test: DataFrame, logistic: PipelineModel) -> DataFrame:
+def baselines(train: DataFrame, test: DataFrame, linear_model: Logistic) -> DataFrame:
     """(model, precision, recall, f1_score, roc_auc, pr_auc) of both baselines."""
 
     def labels(df: DataFrame) -> DataFrame:
@@ -130,7 +103,7 @@ def baselines(train: DataFrame, test: DataFrame, logistic: PipelineModel) -> Dat
     constant = metrics.majority_baseline(labels(train), labels(test)).select(
         F.lit("majority_class").alias("model"), "*"
     )
-    scored = as_scored(score(logistic, test)).where("label IS NOT NULL")
+    scored = as_scored(score(linear_model, test)).where("label IS NOT NULL")
     cut = metrics.threshold_metrics(scored, BASELINE_CUT).select(
         F.struct("precision", "recall", "f1_score").alias("m")
     ).scalar()
@@ -196,7 +169,7 @@ class TrainedModel:
     """Everything the later steps need from one training run."""
 
     trees: Forest
-    logistic: PipelineModel
+    logistic: Logistic
     threshold: float
     weight: float
     split: DataFrame
@@ -216,7 +189,7 @@ def train_and_evaluate(
     assert_disjoint(split)
     train, test = (split.where(F.col("split") == side).drop("split") for side in ("train", "test"))
     weight = positive_weight(train)
-    (trees, per_fold), logistic = side_by_side(
+    (trees, per_fold), linear_model = side_by_side(
         features.sparkSession,
         [
             lambda: fit_with_folds(train, weight, rounds, folds, seed) if folds else (fit_trees(train, weight, rounds, seed), None),
@@ -228,7 +201,7 @@ def train_and_evaluate(
         as_scored(score(trees, test)).where("label IS NOT NULL"), threshold
     ).withColumn("scale_pos_weight", F.round(F.lit(weight), 4))
     return TrainedModel(
-        trees, logistic, threshold, weight, split, baselines(train, test, logistic), evaluation, per_fold
+        trees, linear_model, threshold, weight, split, baselines(train, test, linear_model), evaluation, per_fold
     )
 
 
@@ -236,7 +209,7 @@ def save_bundle(model: TrainedModel, path: str) -> str:
     """Models with scaler, feature names, threshold, split ids and metrics."""
     spark = model.split.sparkSession
     model.trees.save(spark, f"{path}/trees")
-    model.logistic.write().overwrite().save(f"{path}/logistic")
+    model.logistic.save(spark, f"{path}/logistic")
     model.split.select("provider_id", "split").write.mode("overwrite").parquet(f"{path}/split")
     model.evaluation.write.mode("overwrite").json(f"{path}/metrics")
     names = F.array(*[F.lit(name) for name in FEATURES]).alias("feature_names")
@@ -249,7 +222,7 @@ def save_bundle(model: TrainedModel, path: str) -> str:
 @dataclass
 class Bundle:
     trees: Forest
-    logistic: PipelineModel
+    logistic: Logistic
     threshold: float
     feature_names: list[str]
     split: DataFrame
@@ -261,7 +234,7 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
     names = list(settings["feature_names"])
     return Bundle(
         Forest.load(spark, f"{path}/trees", names),
-        PipelineModel.load(f"{path}/logistic"),
+        Logistic.load(spark, f"{path}/logistic"),
         settings["threshold"],
         names,
         spark.read.parquet(f"{path}/split"),

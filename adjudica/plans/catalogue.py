@@ -10,11 +10,13 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adjudica.functions import cleanse
 from adjudica.operators import analytics, attribution, dashboards, marts, measures, metrics, model, quality, sampling, split, star
+from adjudica.operators.boosting import NODES, Forest
 from adjudica.operators.features import FEATURES
 from adjudica.plans.portable import portable
 from adjudica.plans.staging import (
@@ -36,7 +38,7 @@ from adjudica.sources.star_store import (
     table_counts,
     write_star,
 )
-from adjudica.sources.testdata import hashed_attributions, hashed_scores, raw_tables
+from adjudica.sources.testdata import STANDIN_NODES, hashed_attributions, hashed_scores, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -441,6 +443,50 @@ def _told(phi: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
+def _standin_forest(spark: SparkSession, sf_dir: str) -> Forest:
+    """The stand-in forest after it was saved and loaded."""
+    rows = [(t, i, l, r, FEATURES.index(f) if f else -1, c, v, n) for t, i, l, r, f, c, v, n in STANDIN_NODES]
+    names = ["tree", "id", "left", "right", "feature", "cut", "value", "cover"]
+    path = scratch(spark, sf_dir, "standin-forest")
+    Forest(pd.DataFrame(rows, columns=names), FEATURES).save(spark, path)
+    return Forest.load(spark, path, FEATURES)
+
+
+def _standin_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = spark.createDataFrame(_standin_forest(spark, sf_dir).nodes, NODES)
+    feature = F.when(F.col("left") >= 0, F.get(F.array(*map(F.lit, FEATURES)), "feature"))
+    cut = F.when(F.col("left") >= 0, F.col("cut"))
+    return portable(nodes.select("tree", "id", F.col("left").alias("left_child"), F.col("right").alias("right_child"), feature.alias("feature"), cut.alias("cut"), "value", "cover"))
+
+
+def _standin_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.score(_standin_forest(spark, sf_dir), staged_features(spark, sf_dir))
+
+
+def _standin_phi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.attributions(_standin_forest(spark, sf_dir), staged_features(spark, sf_dir))
+
+
+def _on_standin(build) -> Query:
+    return lambda spark, sf_dir: portable(_rounded(build(_standin_phi(spark, sf_dir), _standin_scores(spark, sf_dir))))
+
+
+def _additive(phi: DataFrame, scores: DataFrame) -> DataFrame:
+    """Each provider's log-odds, from its score and from the attributions of its features."""
+    told = phi.groupBy("provider_id").agg(F.sum("phi").alias("phi_sum"))
+    odds = F.log(F.col("probability") / (1 - F.col("probability"))).alias("log_odds")
+    return scores.join(told, "provider_id").select("provider_id", odds, "phi_sum")
+
+
+def _summary(phi: DataFrame, scores: DataFrame) -> DataFrame:
+    case = F.col("high_risk_case")
+    return attribution.explanation_summary(phi, scores).select(
+        F.array_join(F.transform("top_features", lambda f: f["feature"]), ",").alias("top_features"),
+        case["provider_id"].alias("provider_id"), case["assigned_risk_tier"].alias("assigned_risk_tier"),
+        F.array_join(case["decision_rationale"], "\n").alias("decision_rationale"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {"flagship_provider_profile": _flagship}
     found |= {f"s01_read_raw_{table}": _read_raw(table) for table in ("labels", "beneficiary", "inpatient", "outpatient")}
@@ -499,6 +545,12 @@ def all_queries() -> dict[str, Query]:
     }
     found |= {name: _on_risk(build) for name, build in SCORE_MEASURES.items()}
     found |= {
+        "m08_scores": lambda spark, sf_dir: portable(_rounded(_standin_scores(spark, sf_dir))),
+        "s08_forest_round_trip": _standin_bundle,
+        "x01_standin_attributions": _on_standin(lambda phi, _: phi),
+        "x01_additivity": _on_standin(_additive),
+        "x07_standin_narratives": _on_standin(_told),
+        "x08_standin_summary": _on_standin(_summary),
         "m05_logistic_scores": _logistic_scores,
         "m06_tree_scores": lambda spark, sf_dir: staged_scores(spark, sf_dir),
         "m07_cross_validation": _cross_validation,

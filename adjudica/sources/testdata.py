@@ -161,3 +161,18 @@ def hashed_attributions(features: DataFrame, names: list[str]) -> DataFrame:
     return features.select("provider_id", F.inline(pairs)).withColumn(
         "phi", (_digest_number(F.lit("phi"), "provider_id", "feature") % 2001 - 1000) / F.lit(1000.0)
     )
+
+
+#: A stand-in forest of three small trees, as (tree, id, left, right, feature,
+#: cut, value, cover); its cuts part the features of the test tables.
+STANDIN_NODES = [
+    (0, 0, 1, 2, "total_claims", 510.5, 0.0, 100.0), (0, 1, 3, 4, "inpatient_ratio", 0.3551, 0.0, 50.0),
+    (0, 2, 5, 6, "mean_length_of_stay", 2.4613, 0.0, 50.0), (0, 3, -1, -1, None, None, -0.4137, 20.0), (0, 4, -1, -1, None, None, 0.1093, 30.0),
+    (0, 5, -1, -1, None, None, 0.2171, 25.0), (0, 6, 13, 14, "total_reimbursed", 2100000.5, 0.0, 25.0),
+    (0, 13, -1, -1, None, None, 0.5273, 10.0), (0, 14, -1, -1, None, None, 0.9119, 15.0),
+    (1, 0, 1, 2, "total_reimbursed", 2000000.5, 0.0, 100.0), (1, 1, -1, -1, None, None, -0.3231, 45.0),
+    (1, 2, 5, 6, "total_claims", 540.5, 0.0, 55.0), (1, 5, -1, -1, None, None, 0.2611, 35.0), (1, 6, -1, -1, None, None, -0.1523, 20.0),
+    (2, 0, 1, 2, "mean_patient_age", 66.1, 0.0, 100.0), (2, 1, 3, 4, "total_claims", 480.5, 0.0, 50.0),
+    (2, 2, 5, 6, "renal_disease_ratio", 0.1439, 0.0, 50.0), (2, 3, -1, -1, None, None, -0.2047, 10.0), (2, 4, -1, -1, None, None, 0.0589, 40.0),
+    (2, 5, -1, -1, None, None, 0.3163, 22.0), (2, 6, -1, -1, None, None, -0.3607, 28.0),
+]

@@ -113,6 +113,53 @@ EXTRA = {
     "leaders": "SELECT feature, mean_abs_shap FROM importance ORDER BY exact DESC, feature LIMIT 15",
 }
 
+# A stand-in forest: scores by walking its nodes, attributions by all subsets of a tree's features.
+EXTRA |= {
+    "standin_nodes": """SELECT * FROM (VALUES
+  (0, 0, 1, 2, 'total_claims', 510.5, 0.0, 100.0), (0, 1, 3, 4, 'inpatient_ratio', 0.3551, 0.0, 50.0),
+  (0, 2, 5, 6, 'mean_length_of_stay', 2.4613, 0.0, 50.0), (0, 3, -1, -1, NULL, NULL, -0.4137, 20.0), (0, 4, -1, -1, NULL, NULL, 0.1093, 30.0),
+  (0, 5, -1, -1, NULL, NULL, 0.2171, 25.0), (0, 6, 13, 14, 'total_reimbursed', 2100000.5, 0.0, 25.0),
+  (0, 13, -1, -1, NULL, NULL, 0.5273, 10.0), (0, 14, -1, -1, NULL, NULL, 0.9119, 15.0),
+  (1, 0, 1, 2, 'total_reimbursed', 2000000.5, 0.0, 100.0), (1, 1, -1, -1, NULL, NULL, -0.3231, 45.0),
+  (1, 2, 5, 6, 'total_claims', 540.5, 0.0, 55.0), (1, 5, -1, -1, NULL, NULL, 0.2611, 35.0), (1, 6, -1, -1, NULL, NULL, -0.1523, 20.0),
+  (2, 0, 1, 2, 'mean_patient_age', 66.1, 0.0, 100.0), (2, 1, 3, 4, 'total_claims', 480.5, 0.0, 50.0),
+  (2, 2, 5, 6, 'renal_disease_ratio', 0.1439, 0.0, 50.0), (2, 3, -1, -1, NULL, NULL, -0.2047, 10.0), (2, 4, -1, -1, NULL, NULL, 0.0589, 40.0),
+  (2, 5, -1, -1, NULL, NULL, 0.3163, 22.0), (2, 6, -1, -1, NULL, NULL, -0.3607, 28.0)
+  ) t(tree, id, left_child, right_child, feature, cut, value, cover)""",
+    "feature_values": f"SELECT provider_id, feature, value FROM (UNPIVOT exact_features ON {', '.join(FEATURES)} INTO NAME feature VALUE value) u",
+    "forest_odds": """WITH RECURSIVE walk AS (
+    SELECT provider_id, tree, id FROM exact_features CROSS JOIN standin_nodes WHERE id = 0
+    UNION ALL SELECT w.provider_id, w.tree, CASE WHEN v.value <= n.cut::DOUBLE THEN n.left_child ELSE n.right_child END
+    FROM walk w JOIN standin_nodes n ON n.tree = w.tree AND n.id = w.id
+    JOIN feature_values v ON v.provider_id = w.provider_id AND v.feature = n.feature
+  ) SELECT provider_id, sum(n.value::DOUBLE) AS log_odds FROM walk w JOIN standin_nodes n ON n.tree = w.tree AND n.id = w.id
+  WHERE n.left_child < 0 GROUP BY provider_id""",
+    "standin_scores": """SELECT f.provider_id, potential_fraud, 1 / (1 + exp(-log_odds)) AS probability
+  FROM exact_features f JOIN forest_odds o ON o.provider_id = f.provider_id""",
+    "tree_edges": """SELECT c.tree, c.id AS child, p.id AS parent, p.feature, p.cut::DOUBLE AS cut, p.left_child = c.id AS goes_left,
+  c.cover::DOUBLE / p.cover::DOUBLE AS share FROM standin_nodes c JOIN standin_nodes p ON p.tree = c.tree AND c.id IN (p.left_child, p.right_child)""",
+    "leaf_conditions": """WITH RECURSIVE up AS (
+    SELECT tree, id AS leaf, id AS here FROM standin_nodes WHERE left_child < 0
+    UNION ALL SELECT u.tree, leaf, e.parent FROM up u JOIN tree_edges e ON e.tree = u.tree AND e.child = u.here
+  ) SELECT u.tree, leaf, e.feature, e.cut, e.goes_left, e.share FROM up u JOIN tree_edges e ON e.tree = u.tree AND e.child = u.here""",
+    "tree_players": """SELECT tree, feature, row_number() OVER (PARTITION BY tree ORDER BY feature) - 1 AS bit, count(*) OVER (PARTITION BY tree) AS players
+  FROM (SELECT DISTINCT tree, feature FROM standin_nodes WHERE feature IS NOT NULL) d""",
+    "subset_worth": """SELECT provider_id, tree, mask, sum(reached * value) AS worth FROM (
+    SELECT v.provider_id, c.tree, c.leaf, m.mask, any_value(n.value::DOUBLE) AS value,
+      product(CASE WHEN (m.mask >> p.bit) & 1 = 1 THEN CAST((v.value <= c.cut) = c.goes_left AS DOUBLE) ELSE c.share END) AS reached
+    FROM leaf_conditions c JOIN tree_players p ON p.tree = c.tree AND p.feature = c.feature
+    JOIN (SELECT unnest(range(16)) AS mask) m ON m.mask < (1 << p.players)
+    JOIN standin_nodes n ON n.tree = c.tree AND n.id = c.leaf JOIN feature_values v ON v.feature = c.feature
+    GROUP BY ALL) l GROUP BY provider_id, tree, mask""",
+    "exact_phi": """SELECT a.provider_id, p.feature, sum((b.worth - a.worth) * factorial(bit_count(a.mask)::INT)::DOUBLE
+    * factorial((p.players - bit_count(a.mask) - 1)::INT)::DOUBLE / factorial(p.players::INT)::DOUBLE) AS phi
+  FROM subset_worth a JOIN tree_players p ON p.tree = a.tree AND (a.mask >> p.bit) & 1 = 0
+  JOIN subset_worth b ON b.provider_id = a.provider_id AND b.tree = a.tree AND b.mask = a.mask + (1 << p.bit) GROUP BY a.provider_id, p.feature""",
+    "standin_phi": """SELECT v.provider_id, v.feature, v.value, coalesce(phi, 0) AS phi FROM feature_values v
+  LEFT JOIN exact_phi e ON e.provider_id = v.provider_id AND e.feature = v.feature""",
+    "standin_leaders": "SELECT feature, avg(abs(phi)) AS m FROM standin_phi GROUP BY feature ORDER BY m DESC, feature LIMIT 10",
+}
+
 _RATE = "coalesce(count(*) FILTER (ground_truth_fraud = 'Yes') / nullif(count(*), 0) * 100, 0)"
 _RAG = f"CASE WHEN {_RATE} > 35 THEN 'RED' WHEN {_RATE} >= 20 THEN 'AMBER' ELSE 'GREEN' END"
 _CLAIM_MEASURES = {
@@ -318,6 +365,19 @@ _BODIES = {
       SELECT *, {_PLACED_PHI} AS place FROM given_phi WHERE phi <> 0) p
     WHERE place <= CASE WHEN phi > 0 THEN 4 ELSE 2 END GROUP BY provider_id) n ON s.provider_id = n.provider_id""",
 }
+_BODIES |= {
+    "m08_scores": "SELECT provider_id, potential_fraud, round(probability, 6) AS probability FROM standin_scores",
+    "s08_forest_round_trip": """SELECT tree::BIGINT AS tree, id::BIGINT AS id, left_child::BIGINT AS left_child, right_child::BIGINT AS right_child,
+  feature, cut::DOUBLE AS cut, value::DOUBLE AS value, cover::DOUBLE AS cover FROM standin_nodes""",
+    "x01_standin_attributions": "SELECT provider_id, feature, round(value, 6) AS value, round(phi, 6) + 0.0::DOUBLE AS phi FROM standin_phi",
+    "x01_additivity": """SELECT o.provider_id, round(log_odds, 6) AS log_odds, round(log_odds - expected, 6) AS phi_sum FROM forest_odds o,
+  (SELECT sum(part) AS expected FROM (SELECT any_value(n.value::DOUBLE) * product(share) AS part FROM leaf_conditions c
+    JOIN standin_nodes n ON n.tree = c.tree AND n.id = c.leaf GROUP BY c.tree, c.leaf) l) e""",
+    "x07_standin_narratives": _BODIES["x07_narratives"].replace("given_", "standin_"),
+    "x08_standin_summary": f"""SELECT (SELECT string_agg(feature, ',' ORDER BY m DESC, feature DESC) FROM standin_leaders) AS top_features,
+  provider_id, assigned_risk_tier, decision_rationale FROM ({_BODIES["x07_narratives"].replace("given_", "standin_")}) t
+  WHERE provider_id = (SELECT provider_id FROM standin_scores ORDER BY probability DESC, provider_id LIMIT 1)""",
+}
 _BODIES |= {name: f"SELECT {value} FROM portfolio" for name, value in _CLAIM_MEASURES.items()}
 _BODIES |= {
     f"{name}_by_type": f"SELECT claim_type, {value} FROM portfolio GROUP BY claim_type"
