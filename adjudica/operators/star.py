@@ -128,6 +128,13 @@ def unify_claims(inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:
     return _shaped(tagged, "fact_claims_unified")
 
 
+def claim_keys(raw: dict[str, DataFrame]) -> DataFrame:
+    """(claim_id, provider_id, bene_id) of every claim the load reads, repeated ids included."""
+    inpatient, outpatient = clean_inpatient(raw["inpatient"]), clean_outpatient(raw["outpatient"])
+    keys = ["claim_id", "provider_id", "bene_id"]
+    return inpatient.select(keys).union(outpatient.select(keys))
+
+
 def staged_claims(raw: dict[str, DataFrame]) -> DataFrame:
     """Cleaned, unique claims before the referential filter."""
     inpatient = dedup_first(clean_inpatient(raw["inpatient"]), "claim_id")

@@ -149,7 +149,7 @@ def _star_counts(raw) -> DataFrame:
 
 def _orphans(raw) -> DataFrame:
     beneficiaries, providers = _dims(raw)
-    return analytics.orphan_claims(star.staged_claims(raw), providers, beneficiaries)
+    return analytics.orphan_claims(star.claim_keys(raw), providers, beneficiaries)
 
 
 def _staged_keys(raw) -> DataFrame:

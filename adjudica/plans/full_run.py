@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from adjudica.operators import attribution, marts, model, quality, sampling
 from adjudica.operators.analytics import ANALYTICS, orphan_claims
 from adjudica.operators.features import assert_no_leakage, provider_features
-from adjudica.operators.star import staged_claims
+from adjudica.operators.star import claim_keys
 from adjudica.sources.raw_files import read_raw
 from adjudica.sources.sinks import write_json, write_mart
 from adjudica.sources.star_store import load_star, read_star
@@ -42,7 +42,7 @@ def load(
     if fail_fast:
         quality.enforce_star(spark.read.json(f"{out}/star_audit"))
     # Against the stored dimensions: the orphans are what the load left out.
-    orphans = orphan_claims(staged_claims(raw), star["dim_providers"], star["dim_beneficiaries"])
+    orphans = orphan_claims(claim_keys(raw), star["dim_providers"], star["dim_beneficiaries"])
     write_mart(orphans, f"{out}/queries/q08_orphan_claims")
 
 

@@ -1,7 +1,15 @@
-"""The star schema as Parquet: write, read, count, reconcile."""
+"""The star schema as Parquet: write, publish, read, count, reconcile.
+
+A load writes its tables to a folder of its own, verifies them, and only then adds one
+row to the table ``published``, which readers ask for the folder of the last load. So
+all five tables change at once, and a load that fails leaves the old star as it was.
+Folders of earlier loads stay for readers that still use them; the library removes none.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +28,7 @@ from adjudica.session import side_by_side
 
 UNIFIED = "fact_claims_unified"
 MONTH = "claim_month"
+PUBLISHED = "published"
 BROADCAST_ROWS = 2_000_000  # key columns only, about 100 MB as a hash table
 
 
@@ -60,10 +69,39 @@ def _write_unified(unified: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
+def _publications(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema("number bigint, folder string").parquet(f"{path}/{PUBLISHED}")
+    except AnalysisException:
+        return None
+
+
+def star_folder(spark: SparkSession, path: str) -> str:
+    """The folder of the last published load; ``path`` itself holds a star without any."""
+    found = _publications(spark, path)
+    last = found.agg(F.max_by("folder", "number")).first()[0] if found is not None else None
+    return f"{path}/{last}" if last else path
+
+
+def _new_folder() -> str:
+    return f"load-{uuid.uuid4().hex[:12]}"
+
+
+def publish(spark: SparkSession, path: str, folder: str) -> None:
+    """Make a verified folder the star of ``path``: one row, added in one commit."""
+    found = _publications(spark, path)
+    last = found.agg(F.max("number")).first()[0] if found is not None else None
+    row = spark.createDataFrame([((last or 0) + 1, folder)], "number bigint, folder string")
+    row.coalesce(1).write.mode("append").parquet(f"{path}/{PUBLISHED}")
+
+
 def write_star(tables: Star, path: str) -> None:
     """Replace the five tables, dimensions before facts."""
+    spark = next(iter(tables.values())).sparkSession
+    folder = _new_folder()
     for name in STAR_SCHEMAS:
-        (_write_unified if name == UNIFIED else _write)(tables[name], f"{path}/{name}")
+        (_write_unified if name == UNIFIED else _write)(tables[name], f"{path}/{folder}/{name}")
+    publish(spark, path, folder)
 
 
 def verify_load(spark: SparkSession, path: str, sent: dict[str, int] | None = None) -> None:
@@ -96,7 +134,7 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
 
 
 def load_star(raw: dict[str, DataFrame], path: str) -> Star:
-    """Raw tables to the stored star, each table computed a single time.
+    """Raw tables to the stored star, each table computed a single time; published last.
 
     Facts are filtered against the written dimensions, whose known sizes pick
     the join strategy, and the unified fact reads the two written facts.
@@ -104,10 +142,12 @@ def load_star(raw: dict[str, DataFrame], path: str) -> Star:
     spark = raw["labels"].sparkSession
 
     sent: dict[str, int] = {}
+    load = _new_folder()
+    folder = f"{path}/{load}"
 
     def stored(name: str, df: DataFrame) -> DataFrame:
-        sent[name] = _write(df, f"{path}/{name}")
-        return read_table(spark, path, name)
+        sent[name] = _write(df, f"{folder}/{name}")
+        return read_table(spark, folder, name)
 
     providers, beneficiaries = side_by_side(
         spark,
@@ -129,22 +169,25 @@ def load_star(raw: dict[str, DataFrame], path: str) -> Star:
             ),
         ],
     )
-    _write_unified(unify_claims(inpatient, outpatient), f"{path}/{UNIFIED}")
+    _write_unified(unify_claims(inpatient, outpatient), f"{folder}/{UNIFIED}")
     sent[UNIFIED] = sent["fact_inpatient_claims"] + sent["fact_outpatient_claims"]
-    verify_load(spark, path, sent)
+    verify_load(spark, folder, sent)
+    publish(spark, path, load)
     return read_star(spark, path)
 
 
-def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One star table with its declared types; scans prune to the used columns."""
     schema = STAR_SCHEMAS[name]
     if name == UNIFIED:
         schema = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
-    return spark.read.schema(schema).parquet(f"{path}/{name}")
+    return spark.read.schema(schema).parquet(f"{folder}/{name}")
 
 
 def read_star(spark: SparkSession, path: str, names: list[str] | None = None) -> Star:
-    return {name: read_table(spark, path, name) for name in names or list(STAR_SCHEMAS)}
+    """The tables of one load: the folder is looked up once for all."""
+    folder = star_folder(spark, path)
+    return {name: read_table(spark, folder, name) for name in names or list(STAR_SCHEMAS)}
 
 
 def count_rows(tables: dict[str, DataFrame | None]) -> DataFrame:
@@ -165,9 +208,10 @@ def count_rows(tables: dict[str, DataFrame | None]) -> DataFrame:
 def table_counts(spark: SparkSession, path: str) -> DataFrame:
     """Rows of each stored star table; an unreadable table gives NULL."""
     tables: dict[str, DataFrame | None] = {}
+    folder = star_folder(spark, path)
     for name in STAR_SCHEMAS:
         try:
-            tables[name] = read_table(spark, path, name)
+            tables[name] = read_table(spark, folder, name)
         except AnalysisException:
             tables[name] = None
     if all(df is None for df in tables.values()):

@@ -116,6 +116,7 @@ CTES = {
     "dim_beneficiaries": _first_star("clean_beneficiaries", "dim_beneficiaries", "bene_id"),
     "staged_inpatient": _first_star("clean_inpatient", "fact_inpatient_claims", "claim_id"),
     "staged_outpatient": _first_star("clean_outpatient", "fact_outpatient_claims", "claim_id"),
+    "read_claims": "SELECT claim_id, provider_id, bene_id FROM clean_inpatient UNION ALL SELECT claim_id, provider_id, bene_id FROM clean_outpatient",
     "staged_claims": _unified("staged_inpatient", "staged_outpatient"),
     "fact_inpatient_claims": _first_star(_kept("clean_inpatient"), "fact_inpatient_claims", "claim_id"),
     "fact_outpatient_claims": _first_star(_kept("clean_outpatient"), "fact_outpatient_claims", "claim_id"),

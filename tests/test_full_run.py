@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from adjudica.sources.star_store import read_star
 from adjudica.operators.quality import DataQualityError
 from adjudica.plans import full_run
 from adjudica.sources.raw_files import write_raw
@@ -25,8 +26,9 @@ def test_every_stage_leaves_its_output(spark, raw_dir, tmp_path):
     assert len(os.listdir(f"{out}/queries")) == 18 and len(os.listdir(f"{out}/marts")) == 5
     tiers = spark.read.option("header", True).csv(f"{out}/marts/provider_risk_scores").groupBy("risk_tier").count()
     assert sum(r["count"] for r in tiers.collect()) == 10
-    unified = spark.read.parquet(f"{out}/star/fact_claims_unified").count()
-    assert unified == sum(spark.read.parquet(f"{out}/star/fact_{k}_claims").count() for k in ("inpatient", "outpatient"))
+    stored = read_star(spark, f"{out}/star")
+    unified = stored["fact_claims_unified"].count()
+    assert unified == sum(stored[f"fact_{k}_claims"].count() for k in ("inpatient", "outpatient"))
     assert spark.read.json(f"{out}/reports/importance").count() == 33
     assert spark.read.json(f"{out}/reports/baselines").count() == 2
     for report in ("raw_metrics", "star_audit"):
@@ -43,4 +45,4 @@ def test_error_rules_stop_the_load_after_the_report(spark, raw_dir, tmp_path):
 def test_sample_load(spark, raw_dir, tmp_path):
     out = str(tmp_path)
     full_run.load(spark, raw_dir, out, sample=4, fail_fast=False)
-    assert spark.read.parquet(f"{out}/star/dim_providers").count() == 4
+    assert read_star(spark, f"{out}/star")["dim_providers"].count() == 4

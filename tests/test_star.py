@@ -5,7 +5,7 @@ from adjudica.operators import analytics, sampling, star
 from adjudica.session import work_dir
 from adjudica.schema import ANNUAL_AMOUNTS, CONDITIONS, RAW_COLUMNS, STAR_SCHEMAS
 from adjudica.sources.raw_files import RAW_FILES, read_raw, write_raw
-from adjudica.sources.star_store import LoadError, count_rows, load_star, read_star, reconcile_counts, table_counts, verify_load, write_star
+from adjudica.sources.star_store import LoadError, count_rows, load_star, read_star, reconcile_counts, star_folder, table_counts, verify_load, write_star
 
 
 def raw(spark, labels=None, benes=None, inpatient=None, outpatient=None):
@@ -58,9 +58,10 @@ def test_orphans_are_dropped_before_duplicates(spark):
     built = star.build_star(tables)["fact_inpatient_claims"].collect()
     assert [(r["claim_id"], r["bene_id"], r["length_of_stay"]) for r in built] == [("C1", "B1", 0)]
     orphans = analytics.orphan_claims(
-        star.staged_claims(tables), star.build_providers(tables["labels"]), star.build_beneficiaries(tables["beneficiary"])
+        star.claim_keys(tables), star.build_providers(tables["labels"]), star.build_beneficiaries(tables["beneficiary"])
     )
-    assert {r["claim_id"] for r in orphans.collect()} == {"C2"}
+    # The orphan C1 shares its id with a sound claim.
+    assert {(r["claim_id"], r["provider_id"], r["bene_id"]) for r in orphans.collect()} == {("C1", "P1", "GONE"), ("C2", "GONE", "B1")}
 
 
 def test_dedup_keeps_the_smallest_row(spark):
@@ -121,11 +122,24 @@ def test_write_star_replaces(spark, tmp_path):
         write_star(built, str(tmp_path))
     assert counts(read_star(spark, str(tmp_path))) == counts(built)
     verify_load(spark, str(tmp_path))
-    built["fact_inpatient_claims"].limit(0).write.mode("overwrite").parquet(str(tmp_path / "fact_inpatient_claims"))
+    built["fact_inpatient_claims"].limit(0).write.mode("overwrite").parquet(f"{star_folder(spark, str(tmp_path))}/fact_inpatient_claims")
     with pytest.raises(LoadError, match="holds 2 rows, the two facts 1"):
         verify_load(spark, str(tmp_path))
 
 
+def test_a_failed_load_leaves_the_old_star(spark, tmp_path):
+    path = str(tmp_path / "star")
+    loaded = load_star(raw(spark), path)
+    before, folder = counts(loaded), star_folder(spark, path)
+    broken = raw(spark)
+    broken["outpatient"] = broken["outpatient"].withColumn("ClaimID", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        load_star(broken, path)
+    assert star_folder(spark, path) == folder and counts(read_star(spark, path)) == before
+    load_star(raw(spark), path)
+    assert star_folder(spark, path) != folder and counts(read_star(spark, path)) == before
+
+
 def test_sample_keeps_the_label_mix(spark):
     labels = spark.createDataFrame([(f"P{i}", "Yes" if i % 10 == 0 else "No") for i in range(200)], "Provider string, PotentialFraud string")
     sample = sampling.stratified_sample(labels, 50)
