@@ -59,11 +59,15 @@ SUMMED = "lang string, words int, phrase binary, f long, held boolean"
 
 
 def _packed(numbers: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers, "<i4").tobytes())
+    """32-bit numbers byte by byte, so that the high bytes, mostly 0, stand together."""
+    planes = np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<i4")
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
 
 #: floor(1000 a n / (l r)); 1000 a n may pass 64 bits, so decimals of 38 places.
 SCORE = "cast(cast(a as decimal(17,0)) * 1000 as decimal(20,0)) * cast(n as decimal(18,0)) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))"
@@ -393,11 +397,11 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT, most: int = MOST_WO
     """
     shards = staged(_shards(docs, shard_words), "shards")
     found = shards.select("lang", F.inline(F.arrays_zip("words", "counts"))).toDF("lang", "phrase", "n")
-    words = staged(found.groupBy("lang", "phrase").agg(F.sum("n").alias("f")), "words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    often = words.where(F.col("f") >= least)
+    often = staged(found.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "words")
+    sizes = shards.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n).alias("n"))
+    totals = staged(sizes.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     indexes = staged(_indexes(shards, _bitmap(often.select(_number("lang", "phrase").alias("mark")), bits), most + 1), "indexes")
-    buckets = max(LEAST_BUCKETS, (words.agg(F.sum("f")).first()[0] or 0) // BUCKET_WORDS)
+    buckets = max(LEAST_BUCKETS, (totals.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS)
     bitmaps: list[np.ndarray] = []
     for _ in range(2, most):
         bitmaps.append(_bitmap(_frequent_marks(indexes, bitmaps, least, buckets), bits))
