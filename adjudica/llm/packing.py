@@ -17,7 +17,6 @@ sequence and the tokens are never shuffled.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,22 +34,19 @@ WINDOW = 1024
 QUANTUM = 128  # tokens a queue is served at once
 POINT = 16  # binary places of a credit
 END_ID = 0  # after every document
-REMEMBERED = 1 << 17  # words a task remembers before it starts anew
 ROWS = 512  # documents of one result batch
+TABLE = 1 << 19  # quanta times sources placed at once
 TOKENS = "part int, doc_id long, source string, at long, n long, ids binary"
 PIECES = "doc_id long, source string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: The pattern that cuts a text into words before byte-level BPE; a fixed value of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A space between two blanks (or at the end after one), where a text may not be cut.
-_INSIDE_BLANK = re.compile(r"\s \s|\s \Z|  ")
 
 
-class Words:
+class Encoder:
     """Token ids of texts as little-endian unsigned 16- or 32-bit bytes.
 
-    A text is cut before single spaces, where byte-level BPE always ends a token,
-    and the words are looked up or encoded once. Texts with special tokens, or
-    with blanks the cut could split, are encoded whole.
+    The vocabulary's ranks encode a whole text at once; without ranks, or where a
+    text has a special token, the tokenizer itself does.
     """
 
     def __init__(self, vocabulary: bytes, ranks: bytes | None):
@@ -62,25 +58,13 @@ class Words:
         if ranks is not None:
             pairs = (line.split() for line in ranks.splitlines())
             self.fast = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={})
-        self.known: dict[str, bytes] = {}
-
-    def _bytes(self, text: str) -> bytes:
-        ids = self.fast.encode_ordinary(text) if self.fast else self.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.kind).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if _INSIDE_BLANK.search(text):
-            return self._bytes(text)
-        first, *words = text.split(" ")
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for word in words:
-            if word not in known:
-                known[word] = self._bytes(" " + word)
-        return self._bytes(first) + b"".join(map(known.__getitem__, words))
+        if self.fast is None or any(s in text for s in self.special):
+            ids = self.whole.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.fast.encode_ordinary(text)
+        return np.array(ids, self.kind).tobytes()
 
 
 def tokens(docs: DataFrame, vocabulary_path: str, ranks_path: str | None = None) -> DataFrame:
@@ -100,18 +84,18 @@ def tokens(docs: DataFrame, vocabulary_path: str, ranks_path: str | None = None)
     ranks = context.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part = Words(vocabulary.value, ranks.value), TaskContext.get().partitionId()
-        end = np.array([END_ID], words.kind).tobytes()
+        encode, part = Encoder(vocabulary.value, ranks.value), TaskContext.get().partitionId()
+        end = np.array([END_ID], encode.kind).tobytes()
         seen: dict[str, int] = {}
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(first, ROWS)
-                ids = [words(t or "") + end for t in rows["text"].to_pylist()]
+                ids = [encode(t or "") + end for t in rows["text"].to_pylist()]
                 at = []
                 for source, data in zip(rows["source"].to_pylist(), ids):
                     at.append(seen.get(source, 0))
-                    seen[source] = at[-1] + len(data) // words.kind.itemsize
-                n = [len(data) // words.kind.itemsize for data in ids]
+                    seen[source] = at[-1] + len(data) // encode.kind.itemsize
+                n = [len(data) // encode.kind.itemsize for data in ids]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * len(n), pa.int32()), rows["doc_id"], rows["source"], pa.array(at, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
                     names=["part", "doc_id", "source", "at", "n", "ids"],
@@ -134,27 +118,23 @@ class Schedule:
     credits: np.ndarray  # of a round, in units of 2^-POINT tokens
     quantum: int
 
-    def _round(self, queue: int, tokens: np.ndarray) -> np.ndarray:
-        """First round in which the queue's credit covers so many tokens."""
-        return -(-(tokens << POINT) // self.credits[queue])
-
-    def _served(self, queue: int, rounds: np.ndarray) -> np.ndarray:
-        """Tokens the queue was served by the end of a round."""
-        credit = rounds * self.credits[queue] >> POINT
-        return np.where(credit >= self.totals[queue], self.totals[queue], np.minimum(credit, self.totals[queue]) // self.quantum * self.quantum)
-
     def position(self, queue: np.ndarray, quanta: np.ndarray) -> np.ndarray:
-        """Place of the first token of each quantum among all tokens served."""
+        """Place of the first token of each quantum among all tokens served.
+
+        Quanta by sources, a bounded piece of that table at a time.
+        """
         place = np.empty(len(queue), np.int64)
-        for own in np.unique(queue):
-            mine = queue == own
-            k = quanta[mine]
-            rounds = self._round(own, np.minimum((k + 1) * self.quantum, self.totals[own]))
-            at = k * self.quantum
-            for other in range(len(self.sources)):
-                if other != own:
-                    at = at + self._served(other, rounds - (other > own))
-            place[mine] = at
+        names = np.arange(len(self.sources))
+        rows = max(1, TABLE // max(1, len(names)))
+        for at in range(0, len(queue), rows):
+            own, k = queue[at : at + rows], quanta[at : at + rows]
+            needed = np.minimum((k + 1) * self.quantum, self.totals[own])
+            # The first round in which the queue's credit covers the quantum; later queues were served up to the one before.
+            rounds = -(-(needed << POINT) // self.credits[own])
+            credit = (rounds[:, None] - (names > own[:, None])) * self.credits >> POINT
+            served = np.where(credit >= self.totals, self.totals, credit // self.quantum * self.quantum)
+            served[np.arange(len(own)), own] = k * self.quantum
+            place[at : at + rows] = served.sum(1)
         return place
 
 
@@ -180,8 +160,8 @@ def pack(
     the piece, ``doc_tokens`` has its END_ID. All windows but the last are full.
     A document follows its own order within its source. Repeated rows are packed
     each for itself, null and empty texts as their END_ID alone, a null id stays
-    null, and an empty table gives no pieces. One total for each source is sent
-    to all tasks: a mixture is stated by source, so sources are few.
+    null, and an empty table gives no pieces. Other columns are not looked at. One
+    total for each source is sent to all tasks: a mixture is stated by source.
     """
     rows = staged(tokens(docs, vocabulary_path, ranks_path), "tokens")
     sums = staged(rows.groupBy("part", "source").agg(F.sum("n").alias("n")), "token-sums")

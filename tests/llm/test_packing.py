@@ -45,6 +45,17 @@ def test_closed_form_is_round_robin():
             assert found.tolist() == [places[(s, int(i) * 16)] for i in k]
 
 
+def test_many_sources():
+    random.seed(5)
+    totals = {f"s{i:05d}": random.randint(1, 90) for i in range(5000)}
+    plan = packing.schedule(totals, window=1 << 17, quantum=32)
+    order = round_robin(totals, plan.credits.tolist(), 32)
+    places = {token: n for n, token in enumerate(order)}
+    queue = np.repeat(np.arange(5000), [-(-totals[s] // 32) for s in plan.sources])
+    k = np.concatenate([np.arange(-(-totals[s] // 32)) for s in plan.sources])
+    assert plan.position(queue, k).tolist() == [places[(plan.sources[q], int(i) * 32)] for q, i in zip(queue, k)]
+
+
 def test_windows_follow_the_mixture():
     totals = {"a": 60_000, "b": 30_000, "c": 10_000}
     plan = packing.schedule(totals, {"a": 0.2, "b": 0.2, "c": 0.6}, window=1024, quantum=128)
@@ -86,10 +97,10 @@ def test_whole_operator(spark):
     assert zlib.crc32(b"") == 0
 
 
-def test_words_equal_the_tokenizer():
+def test_encoder_equals_the_tokenizer():
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    words = packing.Words(open(VOCABULARY, "rb").read(), open(RANKS, "rb").read())
+    encode = packing.Encoder(open(VOCABULARY, "rb").read(), open(RANKS, "rb").read())
     random.seed(4)
     for _ in range(3000):
         text = "".join(random.choices(["a", "Bc", " ", " ", "\n", "\t", "é", "'s", "9", ".", "\u00a0", "\u3000", "\x1c", "\r"], k=random.randint(0, 12)))
-        assert np.frombuffer(words(text), words.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        assert np.frombuffer(encode(text), encode.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
