@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from adjudica.session import work_dir
 
+JUDGED = 512  # texts judged at once
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,21 +40,25 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def only(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
+    """The texts of these ids, picked before they go to Python while the ids are few; beyond ``most`` all."""
+    return docs if ids.count() > most else docs.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def rows_where(df: DataFrame, text_col: str, accepts_of: Callable[[], Callable[[list], np.ndarray]]) -> DataFrame:
     """The rows whose text is accepted, with all their columns and without a shuffle.
 
-    ``accepts_of`` is called once in every task and gives a function from a list of
-    texts to a mask.
+    Only the text goes to Python and only the mask comes back. ``accepts_of`` is
+    called once in every task and gives a function from a list of texts to a mask.
     """
-    name = free_name(df, "_text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         accepts = accepts_of()
-        for batch in batches:
-            mask = pa.array(np.asarray(accepts(batch[name].to_pylist()), bool))
-            yield batch.drop_columns([name]).filter(mask)
+        for part in parts:
+            masks = [np.asarray(accepts(part.slice(at, JUDGED).to_pylist()), bool) for at in range(0, len(part), JUDGED)]
+            yield pa.array(np.concatenate(masks or [np.empty(0, bool)]))
 
-    return df.withColumn(name, F.col(text_col).cast("string")).mapInArrow(run, df.schema)
+    return df.where(F.arrow_udf(run, "boolean")(F.col(text_col).cast("string")))
 
 
 def fold(id_col: str, folds: int) -> Column:
@@ -75,6 +81,21 @@ def few(df: DataFrame, per_class: int, class_col: str, id_col: str = "doc_id") -
     return near.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= per_class).select(*df.columns)
 
 
+def whole_texts(docs: DataFrame, chosen: DataFrame, class_col: str, budget: int) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` (doc_id, class; bounded) names, with their whole texts.
+
+    Where the texts of a class take more than ``budget`` bytes together, its longest
+    documents are left out, none is cut. Lengths are added up first, so no more text
+    than that leaves the scan. If ``docs`` has the class too, it must agree.
+    """
+    keys = ["doc_id", class_col] if class_col in docs.columns else ["doc_id"]
+    chosen = F.broadcast(chosen.select("doc_id", class_col).distinct())
+    sizes = docs.join(chosen, keys).groupBy("doc_id", class_col).agg(F.sum(F.octet_length("text")).alias("_bytes"))
+    shorter = Window.partitionBy(class_col).orderBy("_bytes", F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    kept = sizes.withColumn("_sum", F.sum("_bytes").over(shorter)).where(F.col("_sum") <= budget).select("doc_id", class_col)
+    return docs.join(F.broadcast(kept), keys)
+
+
 def class_sizes(labels: DataFrame) -> dict[int, int]:
     """Rows of each label 0 and 1 among all labels, for the shares a sample does not have."""
     return {0: 0, 1: 0} | {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}

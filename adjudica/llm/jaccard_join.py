@@ -27,11 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import components, staged, texts
+from adjudica.llm.common import components, only, staged, texts
 from adjudica.llm.shingles import Words, lists, shingles, slices
 
 WORDS, PERCENT = 5, 80
@@ -98,22 +97,14 @@ def _having(signed: DataFrame, frequent: np.ndarray, wanted: bool) -> DataFrame:
     return signed.mapInArrow(run, signed.schema)
 
 
-def _sent_ids(ids: DataFrame, column: str) -> Broadcast | None:
-    """The ids for the tasks, while they are few; none beyond SENT."""
-    if ids.count() > SENT:
-        return None
-    return ids.sparkSession.sparkContext.broadcast(set(ids.toPandas()[column].tolist()))
-
-
-def _counts_of_frequent_texts(docs: DataFrame, chosen: Broadcast | None, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
+def _counts_of_frequent_texts(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
     """(shingle, count) over all shingles of the texts whose prefix has a frequent one."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for rows in slices(batches, 4096):
-            texts_ = (t for d, t in zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist()) if chosen is None or d in chosen.value)
-            sets = (shingles(known.numbers(t), words) for t in texts_)
+            sets = (shingles(known.numbers(t), words) for t in rows["text"].to_pylist())
             found = [s for s in sets if np.isin(s[: prefix_size(len(s), percent)], sent.value, assume_unique=True).any()]
             if found:
                 values, counts = np.unique(np.concatenate(found), return_counts=True)
@@ -123,7 +114,7 @@ def _counts_of_frequent_texts(docs: DataFrame, chosen: Broadcast | None, frequen
     return counted.where(F.col("count") > FREQUENT)
 
 
-def _prefixes(docs: DataFrame, chosen: Broadcast | None, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
+def _prefixes(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
     """(doc_id, k, digest, n, r, rare, late, last): r rare shingles in all, the prefix as its
     rare and its frequent part, and where the rare part ends in the order (END: with
     the rare shingles themselves)."""
@@ -134,7 +125,7 @@ def _prefixes(docs: DataFrame, chosen: Broadcast | None, frequent: np.ndarray, w
         for rows in slices(batches):
             out: list[list] = [[] for _ in range(8)]
             for doc, text in zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist()):
-                if doc is None or (chosen is not None and doc not in chosen.value):
+                if doc is None:
                     continue
                 found = shingles(known.numbers(text), words)
                 if not len(found):
@@ -157,36 +148,34 @@ def _prefixes(docs: DataFrame, chosen: Broadcast | None, frequent: np.ndarray, w
 def _segments(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     """(k, fragment, segment) of the texts whose ids are in ``needed``.
 
-    The ids are sent to the tasks while they are few; beyond SENT every text's
-    segments are made, and the join with the pairs picks the needed ones.
+    Beyond SENT ids every text's segments are made, and the join with the pairs
+    picks the needed ones. Written, as both sides of the pairs read them.
     """
-    ids = _sent_ids(needed, "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for rows in slices(batches):
             keys, places, segments = [], [], []
-            for doc, text in zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist()):
-                if ids is not None and doc not in ids.value:
-                    continue
+            for text in rows["text"].to_pylist():
                 found = shingles(known.numbers(text), words)
+                key = _number(_key(found))
                 # Within a fragment only equality counts, so equal ranges of numbers serve as fragments.
                 cuts = np.searchsorted(found, [(-1 << 63) + i * (1 << 64) // FRAGMENTS for i in range(1, FRAGMENTS)])
                 for place, segment in enumerate(np.split(found, cuts)):
                     if len(segment):
-                        keys.append(_number(_key(found)))
+                        keys.append(key)
                         places.append(place)
                         segments.append(segment)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(places, pa.int32()), lists(segments)], names=["k", "fragment", "segment"])
 
-    made = docs.mapInArrow(run, "k long, fragment int, segment array<long>")
+    made = staged(only(docs, needed, SENT).mapInArrow(run, "k long, fragment int, segment array<long>"), "jaccard-segments")
     return made.groupBy("k", "fragment").agg(F.first("segment").alias("segment"))
 
 
 def _alike(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (x, y, nx, ny) whose overlap, summed over the fragments, suffices."""
     ends = pairs.select(F.col("x").alias("k")).union(pairs.select(F.col("y").alias("k"))).distinct()
-    segments = _segments(docs, staged(classes.join(ends, "k").select("rep").distinct(), "jaccard-needed"), words)
+    segments = _segments(docs, staged(classes.join(ends, "k").select(F.col("rep").alias("doc_id")).distinct(), "jaccard-needed"), words)
     cut = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
     left = segments.select(F.col("k").alias("x"), "fragment", F.col("segment").alias("_sx"))
     right = segments.select(F.col("k").alias("y"), "fragment", F.col("segment").alias("_sy"))
@@ -223,8 +212,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     counts = signed.select(F.explode("probe").alias("shingle")).groupBy("shingle").count()
     frequent = _few_frequent(staged(counts.where(F.col("count") > FREQUENT), "jaccard-frequent"))
     if len(frequent):
-        chosen = _sent_ids(_having(linked, frequent, True).select("doc_id").distinct(), "doc_id")
-        more = staged(_counts_of_frequent_texts(docs, chosen, frequent, words, percent), "jaccard-frequent")
+        chosen = staged(_having(linked, frequent, True).select("doc_id").distinct(), "jaccard-chosen")
+        more = staged(_counts_of_frequent_texts(only(docs, chosen, SENT), frequent, words, percent), "jaccard-frequent")
         frequent = np.union1d(frequent, _few_frequent(more))
 
     # A prefix without frequent shingles is as it was; the others are made anew.
@@ -234,7 +223,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     )
     if len(frequent):
         hit = staged(_having(linked, frequent, True).select("doc_id", "digest").distinct(), "jaccard-hit")
-        made = _prefixes(docs, _sent_ids(hit.select("doc_id").distinct(), "doc_id"), frequent, words, percent)
+        made = _prefixes(only(docs, hit.select("doc_id").distinct(), SENT), frequent, words, percent)
         prefixes = prefixes.unionByName(made.join(hit, ["doc_id", "digest"], "left_semi"))
     prefixes = prefixes.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
     prefixes = staged(prefixes.dropDuplicates(["digest"]).select("k", "n", "r", "rare", "late", "last"), "jaccard-prefixes")
