@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import few, fold, rows_where, texts
+from adjudica.llm.common import few, fold, rows_where, texts, whole_texts
 
 #: Family of a language; one that is not listed is a family of its own.
 FAMILIES = {
@@ -29,12 +29,14 @@ FAMILIES = {
     "pl": "slavic", "cs": "slavic", "ru": "slavic", "uk": "slavic",
 }
 PER_LANGUAGE = 800  # training rows of each language
-SAMPLE_CHARS = 3000  # of each training row, at most
+SAMPLE_BYTES = 1 << 23  # of all training texts of a language, whole ones; the longest go where they are more
 BITS = 13  # hashed features: 2^13
 ROUNDS = 12  # passes of the coordinate descent
 COST = 1.0
 CHUNK = 1 << 20  # bytes counted at once, so a huge text needs no huge arrays
 UNDETERMINED = "und"
+LEAST_LIKENESS = 0.15  # cosine of a text with the centre of a learned language; held-out texts of 16 characters on have 0.21 or more
+SHORT = 10  # letters below which a text is too short to resemble none
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -83,26 +85,35 @@ class Machine:
 class LanguageModel:
     languages: dict[str, list[str]]  # of each family
     machines: list[Machine]
+    centres: np.ndarray  # a row for each language: the unit mean of its features
 
 
 def train(docs: DataFrame) -> LanguageModel:
-    """Fit every machine on at most PER_LANGUAGE rows of each language.
+    """Fit every machine on at most PER_LANGUAGE rows of each language (SAMPLE_BYTES of whole texts).
 
     ``docs`` has doc_id, text and lang; null texts and languages teach nothing.
     Languages with no letters in any sampled text still count as learned.
     """
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.col("lang").alias("lang")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").alias("lang")
     ).where("text is not null and lang is not null")
-    sample = few(rows, PER_LANGUAGE, "lang").select("lang", "text")
+    chosen = few(rows.select("doc_id", "lang"), PER_LANGUAGE, "lang")
+    sample = whole_texts(rows, chosen, "lang", SAMPLE_BYTES).select("lang", "text")
     names = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
     groups: dict[str, list[str]] = {}
     for name in names:
         groups.setdefault(FAMILIES.get(name, name), []).append(name)
     jobs = [("family", a, b, groups[a], groups[b]) for a, b in combinations(sorted(groups), 2)]
     jobs += [(g, a, b, [a], [b]) for g, members in sorted(groups.items()) for a, b in combinations(members, 2)]
+
+    def centre(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        mean = sum(features(t).astype(float) for t in sorted(rows["text"]))
+        return pd.DataFrame({"lang": [key[0]], "centre": [(mean / max(float(np.linalg.norm(mean)), 1e-12)).tolist()]})
+
+    found = {r["lang"]: r["centre"] for r in sample.groupBy("lang").applyInPandas(centre, "lang string, centre array<double>").collect()}
+    centres = np.array([found[name] for name in names]).reshape(len(names), 1 << BITS)
     if not jobs:
-        return LanguageModel(groups, [])
+        return LanguageModel(groups, [], centres)
     plan = docs.sparkSession.createDataFrame(
         [(i, lang, sign) for i, (_, _, _, a, b) in enumerate(jobs) for langs, sign in ((a, 1), (b, -1)) for lang in langs],
         "job int, lang string, sign int",
@@ -118,7 +129,7 @@ def train(docs: DataFrame) -> LanguageModel:
         Machine(jobs[r["job"]][0], jobs[r["job"]][1], jobs[r["job"]][2], np.array(r["weights"]), r["bias"])
         for r in sorted(fitted.collect(), key=lambda r: r["job"])
     ]
-    return LanguageModel(groups, machines)
+    return LanguageModel(groups, machines, centres)
 
 
 class _Judge:
@@ -140,13 +151,15 @@ class _Judge:
         best = min(choices, key=lambda c: (-votes[c], -sums[c], c))
         return best, float(1 / (1 + np.exp(-4 * np.clip(low.get(best, 5.0), -5, 5))))
 
-    def __call__(self, text: str | None) -> tuple[str, float]:
+    def __call__(self, text: str | None) -> tuple[str, float, float]:
+        """The language, its score, and the likeness to the nearest learned language."""
         if text is None or not self.model.languages or not _LETTER.search(text):
-            return UNDETERMINED, 0.0
-        margins = features(text) @ self.weights + self.bias
+            return UNDETERMINED, 0.0, 0.0
+        own = features(text)
+        margins = own @ self.weights + self.bias
         family, sure = self._vote("family", sorted(self.model.languages), margins)
         language, surer = self._vote(family, self.model.languages[family], margins)
-        return language, sure * surer
+        return language, sure * surer, float((self.model.centres @ own).max())
 
 
 def languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -172,12 +185,27 @@ def languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-def rows_in(docs: DataFrame, model: LanguageModel, wanted: list[str] | None = None, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, in one of the wanted languages (in any learned one)."""
+def rows_in(
+    docs: DataFrame, model: LanguageModel, wanted: list[str] | None = None, text_col: str = "text", least: float = LEAST_LIKENESS
+) -> DataFrame:
+    """The rows, with all their columns, in one of the wanted languages (in any learned one).
+
+    The machines give every text a learned language, so a text less like all of
+    them than ``least`` is in none; one of fewer than SHORT letters says too little
+    for that and stays. Repeated rows are judged alike, and texts that are null or
+    have no letter go.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def accepts_of():
         decide = _Judge(sent.value)
-        return lambda found: [lang != UNDETERMINED and (wanted is None or lang in wanted) for lang, _ in map(decide, found)]
+
+        def accepts(text: str | None) -> bool:
+            lang, _, like = decide(text)
+            if lang == UNDETERMINED or (wanted is not None and lang not in wanted):
+                return False
+            return like >= least or sum(map(str.isalpha, text)) < SHORT
+
+        return lambda found: [accepts(t) for t in found]
 
     return rows_where(docs, text_col, accepts_of)

@@ -19,10 +19,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import class_sizes, few, fold, rows_where, texts
+from adjudica.llm.common import class_sizes, few, fold, rows_where, texts, whole_texts
 
 PER_CLASS = 1500  # labelled rows of each class to learn from: half for the dictionaries, half for the curve
-SAMPLE_BYTES = 16_384  # of each training row, at most
+SAMPLE_BYTES = 1 << 24  # of all training texts of a class, whole ones; the longest go where they are more
 DICTIONARY_BYTES = 112_640
 BLOCK_BYTES = 1024
 LEVEL = 3
@@ -85,7 +85,7 @@ def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, flo
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> QualityModel:
-    """Learn from at most PER_CLASS labelled rows of each class (SAMPLE_BYTES of each).
+    """Learn from at most PER_CLASS labelled rows of each class (SAMPLE_BYTES of whole texts).
 
     The curve weights the sample to the classes' shares of all labels. Null labels
     and null texts teach nothing. With no row of a class its
@@ -94,8 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Qua
     label = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     label = label.where("label in (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"))
     # The sample is picked from the labels and sent to the texts, of which none is shuffled.
-    known = texts(docs).where("text is not null").join(F.broadcast(few(label, PER_CLASS, "label")), "doc_id")
-    rows = known.select("doc_id", F.substring("text", 1, SAMPLE_BYTES).alias("text"), "label")
+    rows = whole_texts(texts(docs).where("text is not null"), few(label, PER_CLASS, "label"), "label", SAMPLE_BYTES)
     rows = sorted(rows.collect(), key=lambda r: (r["label"], hash((r["doc_id"], 7)), r["doc_id"]))
     kinds = {k: [r["text"] for r in rows if r["label"] == k] for k in (0, 1)}
     first = {k: kinds[k][: len(kinds[k]) // 2] or kinds[k] for k in (0, 1)}

@@ -1,7 +1,7 @@
 """Toxicity by gradient-boosted trees over dense features.
 
-Features of a whole text: density of lexicon words and of lexicon stems, lexicon
-words near second-person words, capitals, punctuation, repeated marks and
+Features of a whole text: density of lexicon words and of lexicon stems, there and
+in the densest stretch of words, lexicon words near second-person words, capitals, punctuation, repeated marks and
 obfuscated spellings. The lexicon is a short list of insults plus the words and
 stems that labelled rows show to be telling. Spark's boosted trees give a raw
 score and isotonic regression, fitted on other rows, calibrates it.
@@ -21,10 +21,10 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import class_sizes, few, fold, staged, texts
+from adjudica.llm.common import class_sizes, few, fold, staged, texts, whole_texts
 
 PER_CLASS = 2500  # labelled rows of each class to learn from: two thirds for lexicon and trees, the rest to calibrate
-SAMPLE_CHARS = 6000  # of each training row, at most
+SAMPLE_BYTES = 1 << 24  # of all training texts of a class, whole ones; the longest go where they are more
 LEXICON_SIZE = 600
 STEM_CHARS = 4
 LEAST_DOCS = 5  # toxic training rows a lexicon entry must be in
@@ -33,6 +33,7 @@ NEAR = 4  # words between an insult and a second-person word
 TREES, DEPTH = 20, 3
 THRESHOLD = 0.5
 CHUNK = 1 << 20  # characters read at once
+STRETCH = 128  # words of which the densest stretch is a feature
 SEED_WORDS = frozenset("idiot moron stupid trash scum loser pathetic worthless disgusting clown fool dumb".split())
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta vous votre usted tú ti vosotros".split())
 NAMES = ["words", "lexicon", "lexicon_max", "stems", "stems_max", "seeds", "near_you", "you", "capitals", "shouted", "marks", "repeats", "disguised"]
@@ -102,6 +103,15 @@ def _near(hits: np.ndarray, others: np.ndarray) -> int:
     return int(((before >= 0) & (hits - others[before] <= NEAR)).sum()) if len(others) else 0
 
 
+def _densest(marked: np.ndarray) -> float:
+    """The largest share of marked words in a stretch of the text; 0 without words."""
+    if not len(marked):
+        return 0.0
+    starts = np.arange(0, len(marked), STRETCH)
+    counts = np.add.reduceat((marked != 0).astype(np.int64), starts)
+    return float((counts / np.maximum(np.minimum(len(marked) - starts, STRETCH), 20)).max())
+
+
 def dense(text: str | None, flags: Flags) -> list[float]:
     """The features of one text, in the order of NAMES; all 0 without words."""
     words = hits = stems = seeds = near = you = shouted = upper = letters = marks = repeats = disguised = 0
@@ -116,8 +126,7 @@ def dense(text: str | None, flags: Flags) -> list[float]:
         disguised += int(np.count_nonzero(found & DISGUISED))
         shouted += int(np.count_nonzero(found & SHOUTED))
         near += _near(hit, yours) + _near(yours, hit)
-        best = max(best, len(hit) / max(len(found), 20))
-        best_stems = max(best_stems, part_stems / max(len(found), 20))
+        best, best_stems = max(best, _densest(found & HIT)), max(best_stems, _densest(found & STEM))
         codes = np.minimum(np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4"), 1 << 16)
         kinds = _KINDS[codes]
         chars += len(codes)
@@ -171,7 +180,7 @@ class ToxicityModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> ToxicityModel:
-    """Learn from at most PER_CLASS labelled rows of each class (SAMPLE_CHARS of each).
+    """Learn from at most PER_CLASS labelled rows of each class (SAMPLE_BYTES of whole texts).
 
     Null labels and texts teach nothing; with one class only, every score is the
     share of label 1 (0 without labels).
@@ -179,8 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Toxic
     label = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     label = label.where("label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     # The sample is picked from the labels and sent to the texts, of which none is shuffled.
-    known = texts(docs).where("text is not null").join(F.broadcast(few(label, PER_CLASS, "label")), "doc_id")
-    rows = known.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "label")
+    rows = whole_texts(texts(docs).where("text is not null"), few(label, PER_CLASS, "label"), "label", SAMPLE_BYTES)
     rows = staged(rows, "toxicity-sample")
     part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) > 0
     fit, rest = rows.where(part), rows.where(~part)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adjudica.llm import language_id, quality, toxicity
+from adjudica.llm.common import whole_texts
 from adjudica.llm.queries import llm_queries
 
 FOLDER = "/root/testdata/sf0.01"
@@ -82,9 +83,45 @@ def test_odd_languages(spark):
     assert {r.lang_pred for r in language_id.languages(rows, only).collect()} == {"und", "fr"}
     kept = language_id.rows_in(rows, model)
     assert kept.columns == rows.columns and {r.doc_id for r in kept.collect()} == {1, 5, None}
+    others = ["qzx kkj wwq zzv", "สวัสดีครับ วันนี้อากาศดีมาก", "Это русский текст о погоде", "日本語の文章です " * 40]
+    others = spark.createDataFrame(list(enumerate(others)), "doc_id long, text string")
+    assert language_id.rows_in(others, model).count() == 0 and language_id.rows_in(others, model, least=0.0).count() == 4
+    assert language_id.rows_in(docs, model).count() == docs.where("text rlike '[a-zA-Z]'").count()
     assert language_id.languages(rows.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("kind, name", [(quality, "quality"), (toxicity, "toxic"), (language_id, "lang")])
+def test_telling_words_after_a_long_start(spark, kind, name):
+    random.seed(4)
+    same = " ".join(random.choices("lorem ipsum dolor sit amet consetetur".split(), k=3500))
+    telling = {1: "gentle meadow harvest lantern willow", 0: "rotten grubby vulgar nasty filthy"}
+    rows = [(i, same + " " + " ".join(random.choices(telling[i % 2].split(), k=900)), str(i % 2)) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(t) for _, t, _ in rows) > 25_000 and len(same) > 20_000
+    if kind is language_id:
+        found = language_id.languages(docs, language_id.train(docs)).join(docs, "doc_id").collect()
+        assert all(r.lang == r.lang_pred for r in found)
+        return
+    labels = docs.select("doc_id", F.col("lang").cast("int").alias(name))
+    model = kind.train(docs, labels)
+    found = (quality.quality_scores if kind is quality else toxicity.toxicity_scores)(docs, model)
+    assert ranked(found.join(labels.withColumnRenamed(name, "label"), "doc_id").collect()) > 0.99
+
+
+def test_sample_takes_whole_texts_within_a_budget(spark):
+    docs = spark.createDataFrame([(1, "a" * 10), (2, "b" * 30), (3, "c" * 50), (3, "c" * 50), (4, "d" * 60)], "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (4, 1), (4, 1), (9, 1)], "doc_id long, label int")
+    assert sorted(len(r.text) for r in whole_texts(docs, chosen, "label", 100).collect()) == [10, 30, 60]
+    assert sorted(len(r.text) for r in whole_texts(docs, chosen, "label", 140).collect()) == [10, 30, 50, 50, 60]
+    assert whole_texts(docs, chosen, "label", 59).collect() and whole_texts(docs.limit(0), chosen, "label", 59).count() == 0
+
+
+def test_densest_stretch():
+    clean = " ".join(["fine"] * 6000)
+    values = dict(zip(toxicity.NAMES, toxicity.dense(clean + " dolt" * 40, toxicity.Flags(toxicity.Lexicon(frozenset({"dolt"}), frozenset())))))
+    assert values["lexicon"] == 40 / 6040 and values["lexicon_max"] >= 0.3 and values["stems_max"] == 0.0
+
+
 def test_isotonic_curve(spark):
     x = spark.createDataFrame([(v,) for v in (-1.0, 0.1, 0.15, 0.2, 0.5, 0.8, 2.0)], "raw double")
     found = [r[0] for r in x.select(toxicity._calibrated("raw", [0.1, 0.2, 0.2, 0.8], [0.0, 0.4, 0.4, 1.0])).collect()]
