@@ -35,7 +35,7 @@ ROUNDS = 12  # passes of the coordinate descent
 COST = 1.0
 CHUNK = 1 << 20  # bytes counted at once, so a huge text needs no huge arrays
 UNDETERMINED = "und"
-LEAST_LIKENESS = 0.15  # cosine of a text with the centre of a learned language; held-out texts of 16 characters on have 0.21 or more
+LEAST_LIKENESS = 0.15  # cosine of a text with the nearest centre of a learned language; see the README for what was measured
 SHORT = 10  # letters below which a text is too short to resemble none
 _LETTER = re.compile(r"[^\W\d_]")
 
