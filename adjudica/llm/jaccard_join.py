@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adjudica.llm.common import components, only, staged, texts
-from adjudica.llm.shingles import Words, lists, shingles, slices
+from adjudica.llm.shingles import BUCKETED, CHUNK, Words, bucket_ends, bucketed, held, lists, shingles, slices, unpacked
 
 WORDS, PERCENT = 5, 80
 FREQUENT = 50  # texts that share a shingle, above which it comes late in the order
@@ -89,7 +89,7 @@ def _having(signed: DataFrame, frequent: np.ndarray, wanted: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             probes = batch["probe"]
-            hits = np.isin(probes.flatten().to_numpy(), sent.value)
+            hits = held(probes.flatten().to_numpy(), sent.value)
             ends = np.concatenate([[0], np.cumsum(hits)])
             cuts = probes.offsets.to_numpy() - probes.offsets[0].as_py()
             yield batch.filter(pa.array((ends[cuts[1:]] > ends[cuts[:-1]]) == wanted))
@@ -97,21 +97,37 @@ def _having(signed: DataFrame, frequent: np.ndarray, wanted: bool) -> DataFrame:
     return signed.mapInArrow(run, signed.schema)
 
 
-def _counts_of_frequent_texts(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(shingle, count) over all shingles of the texts whose prefix has a frequent one."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+def _counts_of_frequent_texts(docs: DataFrame, frequent: np.ndarray, words: int, percent: int, most: int) -> DataFrame:
+    """(shingle, count) over all shingles of the texts whose prefix has a frequent one.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words()
-        for rows in slices(batches, 4096):
-            sets = (shingles(known.numbers(t), words) for t in rows["text"].to_pylist())
-            found = [s for s in sets if np.isin(s[: prefix_size(len(s), percent)], sent.value, assume_unique=True).any()]
-            if found:
-                values, counts = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], names=["shingle", "part"])
+    A task counts CHUNK shingles at a time and sends each distinct one once, packed, to the
+    bucket that its number falls into; ``most`` shingles in all tell how many there are.
+    """
+    sent, ends = docs.sparkSession.sparkContext.broadcast(frequent), bucket_ends(most)
 
-    counted = docs.mapInArrow(run, "shingle long, part long").groupBy("shingle").agg(F.sum("part").alias("count"))
-    return counted.where(F.col("count") > FREQUENT)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, kept, many = Words(), [], 0
+        for rows in slices(batches):
+            for text in rows["text"].to_pylist():
+                found = shingles(known.numbers(text), words)
+                if held(found[: prefix_size(len(found), percent)], sent.value).any():
+                    kept.append(found.view(np.uint64))
+                    many += len(found)
+                if many >= CHUNK:
+                    yield bucketed(ends, *np.unique(np.concatenate(kept), return_counts=True))
+                    kept, many = [], 0
+        if many:
+            yield bucketed(ends, *np.unique(np.concatenate(kept), return_counts=True))
+
+    def summed(part: pa.Table) -> pa.Table:
+        found, counts = (np.concatenate(c) for c in zip(*(unpacked(d) for d in part["data"].to_pylist())))
+        order = np.argsort(found, kind="stable")
+        found, counts = found[order], counts[order]
+        heads = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+        total = np.add.reduceat(counts, heads)
+        return pa.table({"shingle": found[heads][total > FREQUENT].view(np.int64), "count": total[total > FREQUENT]})
+
+    return docs.mapInArrow(run, BUCKETED).groupBy("bucket").applyInArrow(summed, "shingle long, count long")
 
 
 def _prefixes(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
@@ -130,7 +146,7 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -
                 found = shingles(known.numbers(text), words)
                 if not len(found):
                     continue
-                late = np.isin(found, sent.value, assume_unique=True)
+                late = held(found, sent.value)
                 rare, p = found[~late], prefix_size(len(found), percent)
                 first, key = rare[:p], _key(found)
                 last = int(first[-1]) if len(first) and len(first) < len(rare) else END
@@ -213,7 +229,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     frequent = _few_frequent(staged(counts.where(F.col("count") > FREQUENT), "jaccard-frequent"))
     if len(frequent):
         chosen = staged(_having(linked, frequent, True).select("doc_id").distinct(), "jaccard-chosen")
-        more = staged(_counts_of_frequent_texts(only(docs, chosen, SENT), frequent, words, percent), "jaccard-frequent")
+        most = signed.agg(F.sum("n")).first()[0]
+        more = staged(_counts_of_frequent_texts(only(docs, chosen, SENT), frequent, words, percent, most), "jaccard-frequent")
         frequent = np.union1d(frequent, _few_frequent(more))
 
     # A prefix without frequent shingles is as it was; the others are made anew.
