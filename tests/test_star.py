@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ from adjudica.operators import analytics, sampling, star
 from adjudica.plans.catalogue import RAW_QUERIES
 from adjudica.session import work_dir
 from adjudica.schema import ANNUAL_AMOUNTS, CONDITIONS, RAW_COLUMNS, STAR_SCHEMAS
+from adjudica.sources import testdata
 from adjudica.sources.raw_files import RAW_FILES, read_raw, write_raw
 from adjudica.sources.star_store import LoadError, count_rows, load_star, read_star, reconcile_counts, star_folder, table_counts, verify_load, write_star
 
@@ -93,6 +96,26 @@ def test_dedup_reduces_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+def test_many_lines_are_dealt_by_order(spark, monkeypatch):
+    orders = spark.createDataFrame([(k, k % 5) for k in range(40)], "o_orderkey bigint, o_custkey bigint")
+    lines = spark.createDataFrame([(k % 40, k) for k in range(200)], "l_orderkey bigint, l_partkey bigint")
+    assert testdata._dealt(orders, lines)["lineitem"] is lines
+    monkeypatch.setattr(testdata, "LINES_PER_TASK", 10)
+    dealt = testdata._dealt(orders, lines)
+    assert {df.rdd.getNumPartitions() for df in dealt.values()} == {20}
+    joined = dealt["lineitem"].join(dealt["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    assert sorted(r["l_partkey"] for r in joined.collect()) == list(range(200))
+
+
+def test_unified_fact_is_written_where_it_is_read(spark, tmp_path):
+    load_star(raw(spark), str(tmp_path))
+    folder = f"{star_folder(spark, str(tmp_path))}/fact_claims_unified"
+    # Month folders would send every claim a second time.
+    assert not [f for f in os.listdir(folder) if "=" in f]
+    rows = spark.read.parquet(folder).select("claim_id", "claim_month").collect()
+    assert {(r[0], r[1]) for r in rows} == {("C1", "2009-01"), ("C2", "2009-01")}
+
+
 def test_defaults(spark):
     df = spark.createDataFrame([("B", *[None] * 16)], "bene_id string, " + ", ".join(
         [f"{c} boolean" for c in ["renal_disease", *CONDITIONS.values()]] + [f"{c} decimal(12,2)" for c in ANNUAL_AMOUNTS.values()]))
