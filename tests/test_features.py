@@ -1,8 +1,10 @@
 import random
+import re
 
 import pandas as pd
 from pyspark.sql import functions as F
 
+from adjudica.operators import features
 from adjudica.operators.features import FEATURES, LABEL_DERIVED, assert_no_leakage, exact_median, provider_features
 from conftest import bene, claim, provider, star_of
 
@@ -84,3 +86,24 @@ def test_median_of_even_odd_and_repeated_values(spark):
     got = {r["k"]: r["median"] for r in exact_median(df, "k", F.col("v")).collect()}
     expected = {k: g["v"].median() for k, g in pd.DataFrame(data, columns=["k", "v"]).groupby("k")}
     assert got == {k: v for k, v in expected.items() if k != "d"}
+
+
+def test_pairs_and_bins_are_dealt_once(spark, feature_star, monkeypatch):
+    def sent(df):
+        """Keys of the plan's exchanges."""
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)]
+
+    monkeypatch.setattr(features, "ROWS_PER_TASK", 1)  # 9 claims: 9 tasks
+    claims, benes = feature_star["fact_claims_unified"], feature_star["dim_beneficiaries"]
+    days = sent(features.patient_features(claims, benes))
+    assert days.count("provider_id, bene_id") == 1 and not [k for k in days if "claim_start_date" in k]
+    medians = exact_median(claims, "provider_id", F.col("deductible_amount").cast("bigint"))
+    assert not [k for k in sent(medians) if "_value" in k]
+    assert {r["provider_id"]: r["median"] for r in medians.collect()} == {"X1": 20, "X2": 0, "X3": 5}
+
+
+def test_no_code_of_a_kind_counts_as_none(spark, feature_star):
+    found = features.diversity_features(feature_star["fact_claims_unified"], feature_star["fact_inpatient_claims"])
+    got = {r["provider_id"]: r.asDict() for r in found.collect()}
+    assert (got["X2"]["distinct_operating_physicians"], got["X2"]["distinct_procedures"], got["X2"]["distinct_attending_physicians"]) == (0, 0, 1)
