@@ -73,6 +73,11 @@ def test_attributions_add_up_to_the_log_odds(spark, trained, bundle, features):
     assert summary["high_risk_case"]["provider_id"] == attribution.highest_risk(scores).first()["provider_id"]
 
 
+def test_blocks_of_rows_by_leaves_stay_small():
+    leaves = model.ROUNDS << model.MAX_DEPTH
+    assert attribution.ROWS_PER_CHUNK * leaves * 8 <= 1 << 20  # bytes
+
+
 def test_shapley_values_against_all_subsets():
     rng = np.random.default_rng(0)
     leaves = {
