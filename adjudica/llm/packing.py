@@ -17,8 +17,10 @@ sequence and the tokens are never shuffled.
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -46,19 +48,25 @@ class Encoder:
     """Token ids of texts as little-endian unsigned 16- or 32-bit bytes.
 
     The vocabulary's ranks encode a whole text at once; without ranks, or where a
-    text has a special token, the tokenizer itself does.
+    text has a special token, the tokenizer itself does. It takes twice the memory
+    of the ranks and is only built for such a text.
     """
 
     def __init__(self, vocabulary: bytes, ranks: bytes | None):
-        self.whole = tokenizers.Tokenizer.from_str(vocabulary.decode())
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.wide = self.whole.get_vocab_size() > 1 << 16
+        self.vocabulary, stated = vocabulary, json.loads(vocabulary)
+        self.special = [t["content"] for t in stated["added_tokens"]]
+        names = stated["model"]["vocab"]  # with numbers, or a list of (name, score)
+        self.wide = len({*(names if isinstance(names, dict) else (n for n, _ in names)), *self.special}) > 1 << 16
         self.kind = np.dtype("<u4" if self.wide else "<u2")
         self.fast = None
         if ranks is not None:
             pairs = (line.split() for line in ranks.splitlines())
             self.fast = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={})
 
+    @cached_property
+    def whole(self) -> tokenizers.Tokenizer:
+        return tokenizers.Tokenizer.from_str(self.vocabulary.decode())
+
     def __call__(self, text: str) -> bytes:
         if self.fast is None or any(s in text for s in self.special):
             ids = self.whole.encode(text, add_special_tokens=False).ids

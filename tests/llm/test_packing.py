@@ -104,3 +104,16 @@ def test_encoder_equals_the_tokenizer():
     for _ in range(3000):
         text = "".join(random.choices(["a", "Bc", " ", " ", "\n", "\t", "é", "'s", "9", ".", "\u00a0", "\u3000", "\x1c", "\r"], k=random.randint(0, 12)))
         assert np.frombuffer(encode(text), encode.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_the_tokenizer_is_built_for_special_texts_only():
+    vocabulary, ranks = open(VOCABULARY, "rb").read(), open(RANKS, "rb").read()
+    whole = tokenizers.Tokenizer.from_str(vocabulary.decode())
+    encode, plain = packing.Encoder(vocabulary, ranks), packing.Encoder(vocabulary, None)
+    for text in ("", "Some plain words.", "two\n\nlines  é"):
+        assert encode(text) == plain(text) == np.array(whole.encode(text, add_special_tokens=False).ids, encode.kind).tobytes()
+    assert "whole" not in vars(encode)
+    special = f"before{encode.special[0]} after"
+    assert encode(special) == plain(special) and "whole" in vars(encode)
+    assert encode.special == [t.content for t in whole.get_added_tokens_decoder().values()]
+    assert encode.wide == plain.wide == (whole.get_vocab_size() > 1 << 16)
