@@ -10,7 +10,7 @@ task on a bounded sample; scoring reads every text to its end.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -55,9 +55,16 @@ def features(text: str) -> np.ndarray:
     return (found / max(float(np.linalg.norm(found)), 1e-12)).astype(np.float32)
 
 
+def training_rows(found: Sequence[str]) -> np.ndarray:
+    """The features of texts with a last column of ones, filled in place: rows kept apart would take that memory twice."""
+    x = np.ones((len(found), (1 << BITS) + 1), np.float32)
+    for row, text in zip(x, found):
+        row[:-1] = features(text)
+    return x
+
+
 def fit_svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear SVM (squared hinge loss), by dual coordinate descent."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    """Weights and bias of a linear SVM (squared hinge loss), by dual coordinate descent. The last column of ``x`` is 1."""
     alpha, weights = np.zeros(len(x)), np.zeros(x.shape[1], np.float64)
     ridge = 0.5 / COST
     squares = np.einsum("ij,ij->i", x, x) + ridge
@@ -121,7 +128,7 @@ def train(docs: DataFrame) -> LanguageModel:
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["sign", "text"])
-        weights, bias = fit_svm(np.stack([features(t) for t in rows["text"]]), rows["sign"].to_numpy(float))
+        weights, bias = fit_svm(training_rows(rows["text"].tolist()), rows["sign"].to_numpy(float))
         return pd.DataFrame({"job": [key[0]], "weights": [weights.tolist()], "bias": [bias]})
 
     fitted = sample.join(F.broadcast(plan), "lang").groupBy("job").applyInPandas(fit, "job int, weights array<double>, bias double")

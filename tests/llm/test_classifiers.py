@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -134,3 +135,14 @@ def test_features():
     assert values["lexicon"] == 3 / 6 and values["seeds"] == 2 / 6 and values["disguised"] == 1 / 6 and values["stems"] == 1 / 6
     assert values["you"] == 1 / 6 and values["near_you"] > 0 and values["shouted"] == 1 / 6
     assert toxicity.dense(None, lexicon) == toxicity.dense("", lexicon) == [0.0] * len(toxicity.NAMES)
+
+
+def test_training_rows_take_their_memory_once():
+    found = [f"some words of text {n} " * 5 for n in range(300)]
+    expected = np.hstack([np.stack([language_id.features(t) for t in found]), np.ones((300, 1), np.float32)])
+    tracemalloc.start()
+    made = language_id.training_rows(found)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (made == expected).all() and made.dtype == expected.dtype
+    assert peak < 1.2 * made.nbytes

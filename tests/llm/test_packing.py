@@ -108,7 +108,7 @@ def test_encoder_equals_the_tokenizer():
 
 def test_the_tokenizer_is_built_for_special_texts_only():
     vocabulary, ranks = open(VOCABULARY, "rb").read(), open(RANKS, "rb").read()
-    whole = tokenizers.Tokenizer.from_str(vocabulary.decode())
+    whole = Tokenizer.from_str(vocabulary.decode())
     encode, plain = packing.Encoder(vocabulary, ranks), packing.Encoder(vocabulary, None)
     for text in ("", "Some plain words.", "two\n\nlines  é"):
         assert encode(text) == plain(text) == np.array(whole.encode(text, add_special_tokens=False).ids, encode.kind).tobytes()
