@@ -33,6 +33,7 @@ SAMPLE_BYTES = 1 << 23  # of all training texts of a language, whole ones; the l
 BITS = 13  # hashed features: 2^13
 ROUNDS = 12  # passes of the coordinate descent
 COST = 1.0
+BLOCK = 64  # training rows made at once
 CHUNK = 1 << 20  # bytes counted at once, so a huge text needs no huge arrays
 UNDETERMINED = "und"
 LEAST_LIKENESS = 0.15  # cosine of a text with the nearest centre of a learned language; see the README for what was measured
@@ -63,18 +64,41 @@ def training_rows(found: Sequence[str]) -> np.ndarray:
     return x
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+class Rows:
+    """The training rows of texts, kept as the columns that are not 0 and made whole one at a time."""
+
+    def __init__(self, found: Sequence[str]):
+        self.shape = len(found), (1 << BITS) + 1
+        self.kept: list[tuple[np.ndarray, np.ndarray]] = []
+        for at in range(0, len(found), BLOCK):
+            for row in training_rows(found[at : at + BLOCK]):
+                columns = np.flatnonzero(row)
+                self.kept.append((columns.astype(np.uint16), row[columns]))
+
+    def __len__(self) -> int:
+        return len(self.kept)
+
+    def __getitem__(self, n: int) -> np.ndarray:
+        columns, values = self.kept[n]
+        row = np.zeros(self.shape[1], np.float32)
+        row[columns] = values
+        return row
+
+
+def fit_svm(x: np.ndarray | Rows, y: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear SVM (squared hinge loss), by dual coordinate descent. The last column of ``x`` is 1."""
     alpha, weights = np.zeros(len(x)), np.zeros(x.shape[1], np.float64)
     ridge = 0.5 / COST
-    squares = np.einsum("ij,ij->i", x, x) + ridge
+    # Two rows at a time: one alone is added up in another order than rows of a matrix.
+    squares = np.array([np.einsum("ij,ij->i", *[np.stack([row, row])] * 2)[0] for row in x], np.float32) + ridge
     random = np.random.default_rng(0)
     for _ in range(ROUNDS):
         for i in random.permutation(len(x)):
-            gradient = y[i] * float(x[i] @ weights) - 1 + ridge * alpha[i]
+            row = x[i]
+            gradient = y[i] * float(row @ weights) - 1 + ridge * alpha[i]
             moved = max(alpha[i] - gradient / squares[i], 0.0)
             if moved != alpha[i]:
-                weights += (moved - alpha[i]) * y[i] * x[i]
+                weights += (moved - alpha[i]) * y[i] * row
                 alpha[i] = moved
     return weights[:-1], float(weights[-1])
 
@@ -128,7 +152,7 @@ def train(docs: DataFrame) -> LanguageModel:
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["sign", "text"])
-        weights, bias = fit_svm(training_rows(rows["text"].tolist()), rows["sign"].to_numpy(float))
+        weights, bias = fit_svm(Rows(rows["text"].tolist()), rows["sign"].to_numpy(float))
         return pd.DataFrame({"job": [key[0]], "weights": [weights.tolist()], "bias": [bias]})
 
     fitted = sample.join(F.broadcast(plan), "lang").groupBy("job").applyInPandas(fit, "job int, weights array<double>, bias double")

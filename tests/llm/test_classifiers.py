@@ -146,3 +146,17 @@ def test_training_rows_take_their_memory_once():
     tracemalloc.stop()
     assert (made == expected).all() and made.dtype == expected.dtype
     assert peak < 1.2 * made.nbytes
+
+
+def test_training_rows_are_kept_without_their_zeros():
+    rng = np.random.default_rng(5)
+    found = ["".join(rng.choice(list("abcdefghij klmno"), 400)) for _ in range(900)]
+    whole, y = language_id.training_rows(found), np.where(np.arange(900) % 2, 1.0, -1.0)
+    tracemalloc.start()
+    made = language_id.Rows(found)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 0.5 * whole.nbytes
+    assert all((row == kept).all() and row.dtype == kept.dtype for row, kept in zip(whole, made, strict=True))
+    for a, b in zip(language_id.fit_svm(whole, y), language_id.fit_svm(made, y)):
+        assert np.array_equal(a, b)
