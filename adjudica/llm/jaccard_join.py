@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import components, only, staged, texts
+from adjudica.llm.common import components, only, small_batches, staged, texts
 from adjudica.llm.shingles import BUCKETED, CHUNK, Words, bucket_ends, bucketed, held, lists, shingles, slices, unpacked
 
 WORDS, PERCENT = 5, 80
@@ -220,6 +220,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     same id are one document that has the links of either. A null id is returned
     with its count, a null component, and no links.
     """
+    small_batches(docs.sparkSession)
     docs = texts(docs, id_col, text_col)
     signed = staged(_signatures(docs, words, percent), "jaccard-signatures")
     linked = signed.where("n > 0 and doc_id is not null")

@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from adjudica.llm import jaccard_join
+from adjudica.llm import common, jaccard_join
 from adjudica.llm.queries import llm_oracles, llm_queries
 
 
@@ -89,3 +91,18 @@ def test_sql(spark, name):
     assert sorted(df.columns) == columns
     key = lambda r: tuple(repr(r[c]) for c in columns)
     assert sorted(key(r.asDict()) for r in df.collect()) == sorted(map(key, rows))
+
+
+def test_python_gets_small_batches(spark):
+    """The operator bounds the bytes of a batch by itself, whoever calls it."""
+    wide = spark.range(3000).select(F.repeat(F.lit("some words "), 1000).alias("text")).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    spark.conf.unset(common.BATCHES)
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in jaccard_join.near_duplicates(docs).collect()) == [(1, 2, 1), (2, 2, 1)]
+    assert max(r.n for r in wide.mapInArrow(sizes, "n long").collect()) < 1.1 * common.BATCH_BYTES
+    spark.conf.unset(common.BATCHES)
