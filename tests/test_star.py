@@ -7,7 +7,7 @@ from adjudica.operators import analytics, sampling, star
 from adjudica.plans.catalogue import RAW_QUERIES
 from adjudica.session import work_dir
 from adjudica.schema import ANNUAL_AMOUNTS, CONDITIONS, RAW_COLUMNS, STAR_SCHEMAS
-from adjudica.sources import testdata
+from adjudica.sources import star_store, testdata
 from adjudica.sources.raw_files import RAW_FILES, read_raw, write_raw
 from adjudica.sources.star_store import LoadError, count_rows, load_star, read_star, reconcile_counts, star_folder, table_counts, verify_load, write_star
 
@@ -101,6 +101,8 @@ def test_many_lines_are_dealt_by_order(spark, monkeypatch):
     lines = spark.createDataFrame([(k % 40, k) for k in range(200)], "l_orderkey bigint, l_partkey bigint")
     assert testdata._dealt(orders, lines)["lineitem"] is lines
     monkeypatch.setattr(testdata, "LINES_PER_TASK", 10)
+    days = testdata._dealt(orders, lines.withColumn("l_shipdate", F.lit("2001-02-03 04:05:06").cast("timestamp")))["lineitem"]
+    assert dict(days.dtypes)["l_shipdate"] == "date" and str(days.first()["l_shipdate"]) == "2001-02-03"
     dealt = testdata._dealt(orders, lines)
     assert {df.rdd.getNumPartitions() for df in dealt.values()} == {20}
     joined = dealt["lineitem"].join(dealt["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
@@ -116,6 +118,41 @@ def test_unified_fact_is_written_where_it_is_read(spark, tmp_path):
     assert {(r[0], r[1]) for r in rows} == {("C1", "2009-01"), ("C2", "2009-01")}
 
 
+def odd_claims(spark):
+    """Claims without a beneficiary, orphans of both kinds, and an orphan that shares its id with a sound claim."""
+    keys = [("B1", "C1", "P1"), ("GONE", "C1", "P1"), (None, "C3", "P2"), ("B2", "C4", "LOST"), ("B2", "C5", "P2"), ("B2", "C5", "P1"), ("NA", "C6", "NA")]
+    rows = [{"BeneID": b, "ClaimID": c, "Provider": p} for b, c, p in keys]
+    return raw(spark, inpatient=rows, outpatient=[r | {"ClaimID": "O" + r["ClaimID"]} for r in rows] + [{"BeneID": "AWAY", "ClaimID": "O7", "Provider": "P1"}])
+
+
+def test_claims_are_not_sent_by_the_key_of_a_large_dimension(spark, tmp_path, monkeypatch):
+    tables = odd_claims(spark)
+    expected = star.build_star(tables)
+    monkeypatch.setattr(star_store, "BROADCAST_ROWS", 1)  # two of each are many
+    loaded = load_star(tables, str(tmp_path))
+    for name, df in expected.items():
+        assert sorted(map(str, loaded[name].select(df.columns).collect())) == sorted(map(str, df.collect()))
+    folder = f"{star_folder(spark, str(tmp_path))}/missing"
+    missing = {key: spark.read.parquet(f"{folder}/{key}") for key in os.listdir(folder)}
+    assert {key: {r[0] for r in df.collect()} for key, df in missing.items()} == {"bene_id": {"GONE", "AWAY"}, "provider_id": {"LOST"}}
+    few = {key: F.broadcast(df) for key, df in missing.items()}
+    fact = star.build_inpatient(tables["inpatient"], expected["dim_beneficiaries"], expected["dim_providers"], few)
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(claim_id" in plan
+
+
+def test_a_load_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    def blocks():
+        return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    tables, found, seen = raw(spark), spark.conf.get(key), []
+    monkeypatch.setattr(star_store, "verify_load", lambda *_: seen.append(blocks()))
+    before = blocks()
+    load_star(tables, str(tmp_path))
+    assert seen[0] <= before and spark.conf.get(key) == found
+
+
 def test_defaults(spark):
     df = spark.createDataFrame([("B", *[None] * 16)], "bene_id string, " + ", ".join(
         [f"{c} boolean" for c in ["renal_disease", *CONDITIONS.values()]] + [f"{c} decimal(12,2)" for c in ANNUAL_AMOUNTS.values()]))
