@@ -10,6 +10,7 @@ from adjudica.operators import attribution, marts, model, quality, sampling
 from adjudica.operators.analytics import ANALYTICS, orphan_claims
 from adjudica.operators.features import assert_no_leakage, provider_features
 from adjudica.operators.star import claim_keys
+from adjudica.session import shuffles_dropped
 from adjudica.sources.raw_files import read_raw
 from adjudica.sources.sinks import write_json, write_mart
 from adjudica.sources.star_store import load_star, read_star
@@ -68,7 +69,8 @@ def run(
     star = read_star(spark, f"{out}/star")
     for name, build in ANALYTICS.items():
         write_mart(build(star), f"{out}/queries/{name}")
-    assert_no_leakage(provider_features(star)).write.mode("overwrite").parquet(f"{out}/features")
+    with shuffles_dropped(spark):
+        assert_no_leakage(provider_features(star)).write.mode("overwrite").parquet(f"{out}/features")
     features = spark.read.parquet(f"{out}/features")
 
     trained = model.train_and_evaluate(features, rounds, folds)

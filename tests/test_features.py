@@ -107,3 +107,27 @@ def test_no_code_of_a_kind_counts_as_none(spark, feature_star):
     found = features.diversity_features(feature_star["fact_claims_unified"], feature_star["fact_inpatient_claims"])
     got = {r["provider_id"]: r.asDict() for r in found.collect()}
     assert (got["X2"]["distinct_operating_physicians"], got["X2"]["distinct_procedures"], got["X2"]["distinct_attending_physicians"]) == (0, 0, 1)
+
+
+def test_bins_are_not_sent(spark):
+    rng = random.Random(5)
+    data = [(rng.choice("ab"), rng.randrange(-50_000, 90_000)) for _ in range(301)] + [("c", 7), ("d", None), (None, 3)]
+    medians = exact_median(spark.createDataFrame(data, "k string, v bigint"), "k", F.col("v"))
+    plan = re.sub(r"#\d+L?", "", medians._jdf.queryExecution().executedPlan().toString())
+    dealt, below = re.findall(r"Exchange (hashpartitioning.*REPARTITION_BY_NUM).*\n(.*)", plan)[0]
+    assert "_value" in dealt and "_bin" not in dealt + below  # only key and value are sent
+    assert plan.count("Exchange hashpartitioning(k, _bin") == 1  # the few middle bins
+    expected = {k: g["v"].median() for k, g in pd.DataFrame(data, columns=["k", "v"]).dropna().groupby("k")}
+    assert {r["k"]: r["median"] for r in medians.collect()} == expected
+
+
+def test_parts_can_be_written_one_by_one(spark, feature_star, tmp_path):
+    def kept(name, part):
+        part.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    got = provider_features(feature_star, kept).collect()
+    assert sorted(map(str, got)) == sorted(map(str, provider_features(feature_star).collect()))
+    parts = {p.name: spark.read.parquet(str(p)) for p in tmp_path.iterdir()}
+    assert set(parts) == {"volume", "medians", "stays", "diversity", "patients"}
+    assert all(df.count() == df.select("provider_id").distinct().count() for df in parts.values())
