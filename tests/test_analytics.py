@@ -1,3 +1,4 @@
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -153,3 +154,35 @@ def test_provider_filter_reaches_the_scan(spark, small_star, tmp_path):
     star = {"fact_claims_unified": spark.read.parquet(str(tmp_path / "f"))}
     plan = dashboards.claim_audit(star, "N1")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(provider_id,N1)" in plan
+
+
+def sparse_star(spark):
+    """Claims without a date, a provider or a patient."""
+    claims = [
+        claim("A1", "Inpatient", "A", "N1", "2011-05-02", 100), claim("A2", "Outpatient", "A", "N1", "2011-05-31", 50),
+        claim("A3", "Outpatient", "B", "N2", "2011-05-31", 0), claim("A4", "Outpatient", None, None, "2011-06-01", 7),
+        claim("A5", "Outpatient", "B", "N1", None, 3), claim("A6", "Outpatient", "B", "N2", None, 4),
+        claim("A7", "Inpatient", "A", "N2", "2012-05-02", 9),
+    ]
+    benes = [bene("A", state=3), bene("B", state=None)]
+    return star_of(spark, [provider("N1", True), provider("N2", False)], benes, claims)
+
+
+def test_months_count_each_key_apart(spark):
+    trends = marts.temporal_trends(sparse_star(spark))
+    assert "Expand" not in trends._jdf.queryExecution().executedPlan().toString()
+    got = [(r["claim_year_month"], r["total_claims"], r["inpatient_claims"], r["outpatient_claims"], float(r["total_reimbursement"]), r["active_providers"], r["distinct_beneficiaries"]) for r in trends.collect()]
+    assert got == [("2011-05", 3, 1, 2, 150, 2, 2), ("2011-06", 1, 0, 1, 7, 0, 0), ("2012-05", 1, 1, 0, 9, 1, 1), (None, 2, 0, 2, 7, 2, 1)]
+
+
+def test_states_are_looked_up_with_one_shuffle_of_claims(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        totals = analytics.state_totals(sparse_star(spark))
+        plan = totals._jdf.queryExecution().executedPlan().toString()
+        got = {(r["state_id"], r["provider_id"], r["n"], r["paid"], r["potential_fraud"]) for r in totals.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not re.search(r"hashpartitioning\(provider_id#\d+, bene_id", plan) and len(re.findall(r"hashpartitioning\(bene_id", plan)) == 2
+    assert got == {(3, "N1", 2, 15000, True), (3, "N2", 1, 900, False), (None, "N1", 1, 300, True), (None, "N2", 2, 400, False)}
